@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from ..operators import acquisition, dimensions, facts, fulfilment, planning, revenue, staging
+from ..operators import acquisition, dimensions, facts, fulfilment, gates, planning, revenue, staging
 
 SOURCES = (
     "users",
@@ -63,6 +63,34 @@ class Warehouse:
             self._tables[name] = BUILDERS[name](self)
         return self._tables[name]
 
+    def source_gate(self, *only: str) -> DataFrame:
+        return gates.source_gate(self.raw, only or None)
+
+    def warehouse_gate(self, *only: str) -> DataFrame:
+        return gates.warehouse_gate(
+            self.stg_users,
+            self.stg_orders,
+            self.stg_order_items,
+            self.stg_products,
+            self.stg_events,
+            self.stg_sessions,
+            self.fact_order_item,
+            self.fact_session,
+            self.sales_monthly,
+            only or None,
+        )
+
+    def commercial_gate(self, *only: str) -> DataFrame:
+        return gates.commercial_gate(
+            self.stg_plan_submissions,
+            self.fact_plan,
+            self.wide_order_item,
+            self.actual_country_month,
+            self.price_volume_mix,
+            self.commercial_scorecard,
+            only or None,
+        )
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
@@ -138,4 +166,16 @@ BUILDERS = {
     "plan_vs_actual_region": lambda w: planning.plan_vs_actual_region(w.plan_vs_actual_monthly),
     "price_volume_mix": lambda w: planning.price_volume_mix(w.wide_order_item, w.dim_product, w.comparisons),
     "commercial_scorecard": lambda w: planning.commercial_scorecard(w.sales_monthly, w.fact_plan),
+    # gates and reconciliation
+    "raw_test_results": lambda w: w.source_gate(),
+    "test_results": lambda w: w.warehouse_gate(),
+    "plan_validation": lambda w: w.commercial_gate(),
+    "metric_reconciliation": lambda w: gates.metric_reconciliation(
+        w.raw["orders"], w.raw["order_items"], w.stg_events, w.stg_order_items, w.fact_order, w.fact_order_item,
+        w.fact_session,
+    ),
+    "reconciliation_statement": lambda w: gates.reconciliation_statement(
+        w.raw["order_items"], w.stg_order_items, w.fact_order_item, w.actual_country_month,
+        w.raw["plan_submissions"], w.stg_plan_submissions, w.plan_rejects, w.fact_plan,
+    ),
 }
