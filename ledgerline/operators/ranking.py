@@ -17,6 +17,12 @@ from pyspark.sql.window import Window
 Cell = Callable[[Column], Column]
 
 
+# Cells for money held to four decimals, and for logarithms and scores.
+MONEY_CELLS: tuple[Cell, ...] = (lambda v: F.floor(v), lambda c: F.floor(c / 10000))
+FINE_CELLS: tuple[Cell, ...] = (lambda v: F.floor(v * 100000), lambda c: F.floor(c / 1000))
+DAY_CELLS: tuple[Cell, ...] = (lambda v: F.floor(v),)
+
+
 def running_totals(
     df: DataFrame, by: Sequence[str], value: str, totals: Sequence[str], cells: Sequence[Cell] = ()
 ) -> DataFrame:
@@ -58,12 +64,14 @@ def percentiles(
     df: DataFrame,
     by: Sequence[str],
     wanted: Mapping[str, tuple[str | Column, float]],
+    cells: Sequence[Cell] = (),
 ) -> DataFrame:
     """Exact percentiles with linear interpolation; NULLs are left out.
 
     ``wanted`` maps an output name to (value, p). One scan serves all of them.
-    Meant for values on a bounded grid (whole days, minutes): the window of a
-    group holds one row per distinct value and streams over it.
+    Without ``cells`` this is for values on a bounded grid (whole days, minutes):
+    the window of a group streams over one row per distinct value. Continuous
+    values need ``cells``.
     """
     by = list(by)
     sources: list[tuple[str, Column]] = []
@@ -81,9 +89,16 @@ def percentiles(
         .groupBy(*by, "slot", "v")
         .agg(F.count("*").alias("n"))
     )
-    ranked = running_totals(counts, [*by, "slot"], "v", ["n"]).withColumn(
-        "size", F.sum("n").over(Window.partitionBy(*by, "slot"))
-    )
+    ranked = running_totals(counts, [*by, "slot"], "v", ["n"], cells)
+    if cells:
+        sizes = counts.groupBy(*by, "slot").agg(F.sum("n").alias("size"))
+        same = F.lit(True)
+        for k in [*by, "slot"]:
+            same = same & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+        renamed = sizes.select(*[F.col(k).alias(f"_s_{k}") for k in [*by, "slot"]], "size")
+        ranked = ranked.join(renamed, same, "inner")
+    else:
+        ranked = ranked.withColumn("size", F.sum("n").over(Window.partitionBy(*by, "slot")))
     picks = []
     for name, (col, p) in wanted.items():
         slot = slots[col if isinstance(col, str) else str(col)]
