@@ -32,10 +32,10 @@ def local_session(cores: str | int = "*", partitions: int = 8, app: str = "ledge
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only where none is named."""
-    key = "spark.checkpoint.dir"
-    named = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named
-    folder = tempfile.mkdtemp(prefix="ledgerline-")
-    spark.conf.set(key, folder)
-    return folder
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-"))
+    return context.getCheckpointDir()
