@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import flag, flag_sum, money_sum, ratio
+from ..functions.casting import MONEY
+from ..functions.measures import exact, flag, flag_sum, ratio
 from .facts import attach
 from .ranking import percentiles
 from .revenue import by_calendar
@@ -15,30 +16,25 @@ from .revenue import by_calendar
 LEADS = ("ship_lead_days", "delivery_lead_days", "end_to_end_lead_days")
 
 
-def _join_on(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Left join of two results of the same grouping; a NULL key matches itself."""
-    side = right.select(*[F.col(c).alias(f"_k_{c}") for c in by], *[c for c in right.columns if c not in by])
-    test = F.lit(True)
-    for c in by:
-        test = test & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    return left.join(side, test, "left").drop(*[f"_k_{c}" for c in by])
-
-
 def _lead_summary(items: DataFrame, by: Sequence[str]) -> DataFrame:
-    counts = items.groupBy(*by).agg(
-        F.count("*").alias("items"),
-        flag_sum("valid_timeline_flag").alias("valid_timeline_items"),
-        *[F.avg(c).alias(f"avg_{c}") for c in LEADS],
-        ratio(flag_sum("returned_item_flag"), flag_sum("return_observation_eligible_flag")).alias(
-            "observed_return_rate"
-        ),
-        ratio(flag_sum("cancelled_item_flag"), F.count("*")).alias("cancellation_rate"),
-    )
+    """Lead times and rates from one scan: everything is read off counts per lead time."""
     wanted = {f"median_{c}": (c, 0.5) for c in LEADS} | {f"p90_{c}": (c, 0.9) for c in LEADS}
-    spread = percentiles(items, by, wanted)
+    totals = {
+        "items": F.lit(1).cast("bigint"),
+        "valid_timeline_items": F.col("valid_timeline_flag").cast("bigint"),
+        "_returned": F.col("returned_item_flag").cast("bigint"),
+        "_eligible": F.col("return_observation_eligible_flag").cast("bigint"),
+        "_cancelled": F.col("cancelled_item_flag").cast("bigint"),
+    }
+    summary = percentiles(items, by, wanted, sums=totals, means={f"avg_{c}": c for c in LEADS})
     order = [f"{stat}_{c}" for c in LEADS for stat in ("avg", "median", "p90")]
-    return _join_on(counts, spread, by).select(
-        *by, "items", "valid_timeline_items", *order, "observed_return_rate", "cancellation_rate"
+    return summary.select(
+        *by,
+        "items",
+        "valid_timeline_items",
+        *order,
+        ratio("_returned", "_eligible").alias("observed_return_rate"),
+        ratio("_cancelled", "items").alias("cancellation_rate"),
     )
 
 
@@ -93,16 +89,25 @@ def inventory_performance(inventory: DataFrame, products: DataFrame, centers: Da
     wide = attach(inventory, products, "product_id", "product_id", ["department", "category"])
     wide = attach(wide, centers, "distribution_center_id", "distribution_center_id", ["distribution_center_name"])
     unsold = F.col("sold_flag") == 0
-    counts = wide.groupBy(*by).agg(
-        F.count("*").alias("inventory_units"),
-        flag_sum("sold_flag").alias("sold_units"),
-        (F.count("*") - flag_sum("sold_flag")).alias("unsold_units"),
-        ratio(flag_sum("sold_flag"), F.count("*")).alias("sell_through_rate"),
-        flag_sum(flag(F.col("inventory_age_bucket") == "181+ days")).alias("aged_181_plus_units"),
-        money_sum(F.when(unsold, F.col("unit_cost")).otherwise(0)).alias("unsold_inventory_cost"),
-        money_sum(F.when(unsold, F.col("retail_price")).otherwise(0)).alias("unsold_inventory_retail_value"),
-    )
-    spread = percentiles(
-        wide, by, {"median_days_to_sell": ("days_to_sell", 0.5), "p90_days_to_sell": ("days_to_sell", 0.9)}
+    none = F.lit(0).cast(MONEY)
+    totals = {
+        "inventory_units": F.lit(1).cast("bigint"),
+        "sold_units": F.col("sold_flag").cast("bigint"),
+        "aged_181_plus_units": flag(F.col("inventory_age_bucket") == "181+ days").cast("bigint"),
+        "unsold_inventory_cost": F.when(unsold, exact("unit_cost")).otherwise(none),
+        "unsold_inventory_retail_value": F.when(unsold, exact("retail_price")).otherwise(none),
+    }
+    wanted = {"median_days_to_sell": ("days_to_sell", 0.5), "p90_days_to_sell": ("days_to_sell", 0.9)}
+    units, sold = F.col("inventory_units"), F.col("sold_units")
+    return percentiles(wide, by, wanted, sums=totals).select(
+        *by,
+        "inventory_units",
+        "sold_units",
+        (units - sold).alias("unsold_units"),
+        ratio(sold, units).alias("sell_through_rate"),
+        "median_days_to_sell",
+        "p90_days_to_sell",
+        "aged_181_plus_units",
+        F.col("unsold_inventory_cost").cast("double").alias("unsold_inventory_cost"),
+        F.col("unsold_inventory_retail_value").cast("double").alias("unsold_inventory_retail_value"),
     )
-    return _join_on(counts, spread, by)

@@ -65,10 +65,14 @@ def percentiles(
     by: Sequence[str],
     wanted: Mapping[str, tuple[str | Column, float]],
     cells: Sequence[Cell] = (),
+    sums: Mapping[str, Column] | None = None,
+    means: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Exact percentiles with linear interpolation; NULLs are left out.
 
-    ``wanted`` maps an output name to (value, p). One scan serves all of them.
+    ``wanted`` maps an output name to (value, p). One scan serves all of them,
+    and also ``sums`` (per-row values to add up over all rows of the group) and
+    ``means`` (output name to one of the values): they ride on the same counts.
     Without ``cells`` this is for values on a bounded grid (whole days, minutes):
     the window of a group streams over one row per distinct value. Continuous
     values need ``cells``.
@@ -81,13 +85,18 @@ def percentiles(
         if label not in slots:
             slots[label] = len(sources)
             sources.append((label, F.col(col) if isinstance(col, str) else col))
+    sums, means = dict(sums or {}), dict(means or {})
+    extra = {name: f"_s{i}" for i, name in enumerate(sums)}
     pairs = [F.struct(F.lit(i).alias("slot"), c.cast("double").alias("v")) for i, (_, c) in enumerate(sources)]
+    # the sums are carried by the first value's rows, so those stay even if it is NULL
     counts = (
-        df.select(*by, F.explode(F.array(*pairs)).alias("_p"))
-        .select(*by, "_p.slot", "_p.v")
-        .filter(F.col("v").isNotNull())
+        df.select(*by, *[c.alias(extra[name]) for name, c in sums.items()], F.inline(F.array(*pairs)))
+        .filter((F.col("slot") == 0) | F.col("v").isNotNull() if sums else F.col("v").isNotNull())
         .groupBy(*by, "slot", "v")
-        .agg(F.count("*").alias("n"))
+        .agg(
+            F.count("v").alias("n"),
+            *[F.sum(F.when(F.col("slot") == 0, F.col(c))).alias(c) for c in extra.values()],
+        )
     )
     ranked = running_totals(counts, [*by, "slot"], "v", ["n"], cells)
     if cells:
@@ -111,6 +120,11 @@ def percentiles(
         low, high = hit(F.floor(place)), hit(F.ceil(place))
         part = F.max(F.when(F.col("slot") == slot, place - F.floor(place)))
         picks.append((low + (high - low) * part).alias(name))
+    for name, value in means.items():
+        mine = F.col("slot") == slots[value]
+        total = F.sum(F.when(mine, F.col("v") * F.col("n")))
+        picks.append((total / F.nullif(F.sum(F.when(mine, F.col("n"))), F.lit(0))).alias(name))
+    picks += [F.sum(c).alias(name) for name, c in extra.items()]
     return ranked.groupBy(*by).agg(*picks)
 
 
@@ -121,11 +135,13 @@ def percentile_edges(df: DataFrame, value: str, parts: int, cells: Sequence[Cell
     cell, so continuous scores need ``cells``.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
-    size = counts.agg(F.sum("n")).scalar()
-    ranked = running_totals(counts, [], value, ["n"], cells).withColumn("size", size)
+    stats = counts.agg(F.struct(F.sum("n").alias("size"), F.min(value).alias("lowest"))).scalar()
+    ranked = running_totals(counts, [], value, ["n"], cells).withColumn("_t", stats).select(
+        value, "n", "n_before", F.col("_t.size").alias("size"), F.col("_t.lowest").alias("lowest")
+    )
     steps = F.array(*[F.lit(i / parts) for i in range(1, parts)])
     picks = (
-        ranked.select(value, "n", "n_before", "size", F.posexplode(steps).alias("step", "p"))
+        ranked.select(value, "n", "n_before", "size", "lowest", F.posexplode(steps).alias("step", "p"))
         .withColumn("place", F.col("p") * (F.col("size") - 1))
     )
     inside = lambda k: (F.col("n_before") <= k) & (k < F.col("n_before") + F.col("n"))
@@ -136,11 +152,11 @@ def percentile_edges(df: DataFrame, value: str, parts: int, cells: Sequence[Cell
             F.max(F.when(inside(F.floor("place")), F.col(value))).alias("lo"),
             F.max(F.when(inside(F.ceil("place")), F.col(value))).alias("hi"),
             F.max(F.col("place") - F.floor("place")).alias("part"),
+            F.max("lowest").alias("lowest"),
         )
-        .select((F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("edge"))
+        .select((F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("edge"), "lowest")
     )
-    lowest = counts.agg(F.min(value)).scalar()
-    return edge.filter(F.col("edge") > lowest).agg(F.array_sort(F.collect_set("edge"))).scalar()
+    return edge.filter(F.col("edge") > F.col("lowest")).agg(F.array_sort(F.collect_set("edge"))).scalar()
 
 
 def bucket_of(value: Column, edges: Column) -> Column:
