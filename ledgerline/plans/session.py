@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,11 +36,19 @@ def local_session(cores: str | int = "*", partitions: int = 8, app: str = "ledge
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is named."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a session whose executors run in the driver's own process may go without:
+    it gets a folder of its own, removed when the process ends.
+    """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if named:
-        return named
+        return named.rstrip("/")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-"))
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="ledgerline-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
