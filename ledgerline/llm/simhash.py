@@ -60,12 +60,12 @@ def _majority(hashes: np.ndarray, lanes: int) -> bytes:
 
 
 def fingerprints(
-    docs: DataFrame, text: str = "text", words: int = 3, lanes: int = 1, keep: Sequence[str] | None = None
+    docs: DataFrame, text: str = "text", words: int = 3, lanes: int = 1, keep: Sequence[str] | None = None, distinct: bool = False
 ) -> DataFrame:
     """Add ``fp``, the fingerprint as 8 bytes for each lane, to every row.
 
     Words are runs without ASCII blanks, A-Z lower-cased; repeated shingles count
-    as often as they occur. A null text, like one without words, has all bits zero.
+    as often as they occur, or once if ``distinct``. A null text, like one without words, has all bits zero.
     """
 
     def make():
@@ -73,6 +73,7 @@ def fingerprints(
 
         def work(texts):
             made = (shingle_hashes(t, words) for t in as_bytes(texts))
+            made = map(np.unique, made) if distinct else made
             return [pa.array([_majority(h, lanes) if len(h) else zero for h in made], pa.binary())]
 
         return work
@@ -236,11 +237,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     """One row of each group of near duplicates: the one with the smallest id, its own columns unchanged.
 
     Texts of one group are linked, directly or through others, by fingerprints of
-    ``words``-word shingles that differ no more than texts of this similarity do.
+    their sets of ``words``-word shingles that differ no more than texts of this similarity do.
     Texts without words are alike. Of ids that are equal, or null (which come
     last), the smaller text hash decides; of repeated rows one stays.
     """
-    made = fingerprints(docs.select("*", row_key(text).alias("_text_key")), text, words, WIDE_LANES, [doc_id, "_text_key"])
+    made = fingerprints(docs.select("*", row_key(text).alias("_text_key")), text, words, WIDE_LANES, [doc_id, "_text_key"], True)
     rows = stored(made.select(named(doc_id).alias("doc"), F.col("_text_key").alias("text_key"), "fp"), "wide-fingerprints")
     first = F.struct(F.col("doc").isNull().alias("none"), "doc", "text_key")
     nodes = stored(rows.groupBy("fp").agg(F.min(first).alias("first")).withColumn("id", F.unhex(F.md5("fp"))), "wide-nodes")
