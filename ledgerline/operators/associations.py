@@ -19,21 +19,19 @@ def basket_rules(items: DataFrame, products: DataFrame, min_pair: int = 25, leve
     pair that reaches it and are left out of the pairing; this loses no rule.
     """
     sold = attach(items.filter(F.col("net_sales_value") > 0), products, "product_id", "product_id", [level])
+    entries = sold.select("order_id", F.col(level).alias("cat")).distinct()
+    total = entries.agg(F.count_distinct("order_id")).scalar()
+    singles = entries.groupBy("cat").agg(F.count("*").alias("orders"))
     sets = (
-        sold.groupBy("order_id")
-        .agg(F.sort_array(F.collect_set(level)).alias("cats"))
+        entries.join(singles.filter(F.col("orders") >= min_pair), "cat", "left_semi")
+        .groupBy("order_id")
+        .agg(F.sort_array(F.collect_set("cat")).alias("cats"))
         .groupBy("cats")
         .agg(F.count("*").alias("n"))
     )
-    total = sets.agg(F.sum("n")).scalar()
-    singles = sets.select(F.explode("cats").alias("cat"), "n").groupBy("cat").agg(F.sum("n").alias("orders"))
-    frequent = (
-        singles.filter(F.col("orders") >= min_pair).agg(F.collect_set("cat")).scalar()
-    )
     x, y = F.col("x"), F.col("y")
     pairs = (
-        sets.withColumn("cats", F.array_intersect("cats", frequent))
-        .select(F.posexplode("cats").alias("i", "x"), "cats", "n")
+        sets.select(F.posexplode("cats").alias("i", "x"), "cats", "n")
         .select("x", F.explode(F.slice("cats", F.col("i") + 2, F.size("cats"))).alias("y"), "n")
         .groupBy("x", "y")
         .agg(F.sum("n").alias("pair_orders"))

@@ -131,23 +131,21 @@ def kruskal_wallis(df: DataFrame, group: str, value: str, min_group: int = 30, c
     counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("c"))
     # one row per group and distinct value: windows over it stay on the value grid
     sized = counts.withColumn("size", F.sum("c").over(Window.partitionBy(group))).filter(F.col("size") >= min_group)
-    values = sized.groupBy(value).agg(F.sum("c").alias("t"), F.collect_list(F.struct(group, "c", "size")).alias("_g"))
+    values = sized.groupBy(value).agg(F.sum("c").alias("t"))
     ranked = running_totals(values, [], value, ["t"], cells)
     t = F.col("t").cast("double")
-    rank = F.col("t_before") + (F.col("t") + 1) / 2
-    # a value's groups are a list as long as there are groups; ties are booked once per value
-    lines = ranked.select(rank.alias("rank"), (t * t * t - t).alias("tie"), F.posexplode("_g").alias("i", "g")).select(
-        "rank", F.when(F.col("i") == 0, F.col("tie")).otherwise(0.0).alias("tie"), "g.*"
-    )
+    ranks = ranked.select(value, (F.col("t_before") + (F.col("t") + 1) / 2).alias("rank"))
+    ties = values.agg(F.sum(t * t * t - t)).scalar()
     sums = (
-        lines.groupBy(group, "size")
-        .agg(F.sum(F.col("c") * F.col("rank")).alias("r"), F.sum("tie").alias("tie"))
+        sized.join(ranks, value)
+        .groupBy(group, "size")
+        .agg(F.sum(F.col("c") * F.col("rank")).alias("r"))
         .agg(
             F.count("*").alias("groups"),
             F.sum("size").cast("double").alias("n"),
             F.sum(F.col("r") * F.col("r") / F.col("size")).alias("s"),
-            F.sum("tie").alias("ties"),
         )
+        .withColumn("ties", ties)
     )
     n = F.col("n")
     h = (12 / (n * (n + 1)) * F.col("s") - 3 * (n + 1)) / (1 - F.col("ties") / (n * n * n - n))

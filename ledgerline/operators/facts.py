@@ -24,9 +24,10 @@ from ..functions.times import (
 )
 
 CANCELLED, RETURNED, COMPLETE = "Cancelled", "Returned", "Complete"
+# Stock age buckets.
 AGE_BUCKET_EDGES = (31, 61, 91, 181)
 AGE_BUCKETS = ("0-30 days", "31-60 days", "61-90 days", "91-180 days", "181+ days")
-# Order of precedence of the reasons for which a plan row is quarantined.
+# Fixed values, in order of precedence: the reasons for which a plan row is quarantined.
 REJECT_REASONS = (
     ("flag_unmapped_country", "Country not present in the country master"),
     ("flag_missing_fx_rate", "No budget FX rate for the submitted currency"),
@@ -87,9 +88,8 @@ def fact_order_item(
 
     ``product_columns`` and ``customer_columns`` ride along on the two joins
     this operator makes anyway, so that the marts need not repeat them. The
-    centre is the product's unless the item names its own.
+    centre is the product's.
     """
-    owns_center = "distribution_center_id" in items.columns
     product_side = products.select(
         "product_id",
         "unit_cost",
@@ -98,11 +98,6 @@ def fact_order_item(
     )
     customer_side = customers.select("user_id", "acquisition_source", *customer_columns)
     wide = items.join(product_side, "product_id", "inner").join(customer_side, "user_id", "inner")
-    center = (
-        F.coalesce(F.col("distribution_center_id"), F.col("_product_center"))
-        if owns_center
-        else F.col("_product_center")
-    )
     price, margin = F.col("sale_price"), F.col("sale_price") - F.col("unit_cost")
     status, none = F.col("item_status"), F.lit(0).cast(MONEY)
     is_net = ~status.isin(CANCELLED, RETURNED)
@@ -112,7 +107,7 @@ def fact_order_item(
         F.col("user_id").alias("customer_id"),
         "product_id",
         "inventory_item_id",
-        center.alias("distribution_center_id"),
+        F.col("_product_center").alias("distribution_center_id"),
         "acquisition_source",
         "item_status",
         F.col("created_at").alias("order_item_created_at"),

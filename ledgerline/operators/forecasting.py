@@ -69,39 +69,65 @@ def _drift(history: str, length: Column) -> Column:
     return F.when(length <= SEASON, 1.0).when(year_ago > 0, held).otherwise(F.lit(1.0))
 
 
-def _smooth(x: np.ndarray, horizon: int) -> np.ndarray:
-    """Additive trend and season on log values.
+def _run(y: np.ndarray, p: np.ndarray):
+    """Smooth with several parameter rows at once: logits of the three weights, level, trend, season.
 
-    The three smoothing weights are chosen on a grid that is narrowed around the
-    best point; all grid points advance through the series together.
+    Returns the one-step errors and the final level, trend and season of each row.
+    """
+    a, b, g = (0.001 + 0.998 / (1 + np.exp(-p[:, i])) for i in range(3))
+    level, trend, season = p[:, 3].copy(), p[:, 4].copy(), p[:, 5:].copy()
+    errors = np.empty((len(p), len(y)))
+    for t, v in enumerate(y):
+        s = season[:, t % SEASON].copy()
+        errors[:, t] = v - (level + trend + s)
+        before = level
+        level = a * (v - s) + (1 - a) * (level + trend)
+        trend = b * (level - before) + (1 - b) * trend
+        season[:, t % SEASON] = g * (v - level) + (1 - g) * s
+    return errors, level, trend, season
+
+
+def _fit(y: np.ndarray) -> np.ndarray:
+    """Weights and starting states with the least squared one-step error.
+
+    The search starts from the best of a coarse grid of weights, with the first
+    two seasons' means as states, and takes damped Gauss-Newton steps over all
+    parameters until they gain nothing. No step makes the error larger.
     """
-    y = np.log(np.maximum(x, 1.0))
     level0 = y[:SEASON].mean()
     trend0 = (y[SEASON : 2 * SEASON].mean() - level0) / SEASON
     season0 = y[:SEASON] - level0 - trend0 * (np.arange(SEASON) - (SEASON - 1) / 2)
-    start = level0 - trend0 * (SEASON + 1) / 2
-    centre, width = np.array([0.5, 0.1, 0.3]), np.array([0.49, 0.09, 0.29])
-    state = None
-    for _ in range(4):
-        axes = [np.clip(np.linspace(c - w, c + w, 7), 0.001, 0.999) for c, w in zip(centre, width)]
-        a, b, g = (m.ravel() for m in np.meshgrid(*axes, indexing="ij"))
-        level, trend = np.full(a.size, start), np.full(a.size, trend0)
-        season = np.tile(season0, (a.size, 1))
-        error = np.zeros(a.size)
-        for t, v in enumerate(y):
-            s = season[:, t % SEASON].copy()
-            miss = v - (level + trend + s)
-            error += miss * miss
-            before = level
-            level = a * (v - s) + (1 - a) * (level + trend)
-            trend = b * (level - before) + (1 - b) * trend
-            season[:, t % SEASON] = g * (v - level) + (1 - g) * s
-        k = int(np.argmin(error))
-        state = (level[k], trend[k], season[k], len(y))
-        centre, width = np.array([a[k], b[k], g[k]]), width / 3
-    level, trend, season, n = state
+    states = np.concatenate(([level0 - trend0 * (SEASON + 1) / 2, trend0], season0))
+    weights = np.stack(np.meshgrid(*[np.linspace(-5, 5, 6)] * 3, indexing="ij"), axis=-1).reshape(-1, 3)
+    grid = np.hstack((weights, np.tile(states, (len(weights), 1))))
+    costs = (_run(y, grid)[0] ** 2).sum(axis=1)
+    best, cost, damping = grid[int(np.argmin(costs))], float(costs.min()), 1e-3
+    while damping < 1e9:
+        step = 1e-6
+        errors = _run(y, np.vstack((best, best + step * np.eye(best.size))))[0]
+        slope = (errors[1:] - errors[0]).T / step
+        normal, pull = slope.T @ slope, slope.T @ errors[0]
+        moved = False
+        while damping < 1e9:
+            there = best - np.linalg.solve(normal + damping * (np.diag(np.diag(normal)) + 1e-9 * np.eye(best.size)), pull)
+            there[:3] = np.clip(there[:3], -12, 12)
+            now = float((_run(y, there[None, :])[0] ** 2).sum())
+            if now < cost:
+                moved = cost - now > 1e-7 * (cost + 1e-12)
+                best, cost, damping = there, now, damping / 5
+                break
+            damping *= 4
+        if not moved:
+            break
+    return best
+
+
+def _smooth(x: np.ndarray, horizon: int) -> np.ndarray:
+    """Additive trend and season on log values, with fitted weights and starting states."""
+    y = np.log(np.maximum(x, 1.0))
+    _, level, trend, season = (part[0] for part in _run(y, _fit(y)[None, :]))
     steps = np.arange(1, horizon + 1)
-    return np.exp(level + trend * steps + season[(n + steps - 1) % SEASON])
+    return np.exp(level + trend * steps + season[(len(y) + steps - 1) % SEASON])
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -15,10 +16,12 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import flag_sum, ratio
 from ..functions.times import as_date, iso_weekday
+from ..plans.session import checkpoint_folder
 from .facts import attach
 from .ranking import FINE_CELLS, bucket_of, percentile_edges, running_totals
 from .segmentation import kept
 
+# The features of the model.
 CATEGORICAL = (
     "category", "department", "brand_group", "distribution_center", "age_band", "gender", "country",
     "acquisition_source", "order_month", "order_weekday",
@@ -78,14 +81,14 @@ def propensity_features(
 @dataclass
 class PropensityModel:
     stages: PipelineModel
-    levels: dict[str, list[str]]
+    levels: DataFrame
     categorical: Sequence[str]
     numeric: Sequence[str]
     label: str
     feature_names: list[str] = field(default_factory=list)
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        return _prepare(df, self.levels, self.numeric)
+        return _prepare(df, self.levels, self.categorical, self.numeric)
 
     def score(self, df: DataFrame) -> DataFrame:
         out = self.stages.transform(self.prepare(df))
@@ -101,34 +104,28 @@ class PropensityModel:
         return table.withColumn("odds_ratio", F.exp("coefficient")) if odds else table
 
 
-def frequent_levels(train: DataFrame, columns: Sequence[str], minimum: int) -> dict[str, list[str]]:
-    """Levels seen often enough in the training rows, counted for all columns in one pass."""
+def level_table(train: DataFrame, columns: Sequence[str], minimum: int) -> DataFrame:
+    """(name, level, rare) of all columns, counted in one pass and written to the shared folder."""
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in columns])
-    rows = (
+    counted = (
         train.select(F.inline(pairs))
         .filter(F.col("level").isNotNull())
         .groupBy("name", "level")
-        .agg(F.count("*").alias("n"))
-        .withColumn("common", F.col("n") >= minimum)
-        .orderBy("name", "level")
-        .collect()
+        .agg((F.count("*") < minimum).alias("rare"))
     )
-    out: dict[str, list[str]] = {c: [] for c in columns}
-    rare: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
-        (out if r.common else rare)[r["name"]].append(r.level)
-    return {c: out[c] + ([INFREQUENT] if rare[c] else []) for c in columns} | {f"rare:{c}": rare[c] for c in columns}
+    spark = train.sparkSession
+    path = f"{checkpoint_folder(spark)}/levels-{uuid.uuid4().hex}"
+    counted.write.parquet(path)
+    return spark.read.schema("name STRING, level STRING, rare BOOLEAN").parquet(path)
 
 
-def _prepare(df: DataFrame, levels: dict[str, list[str]], numeric: Sequence[str]) -> DataFrame:
-    names = [c for c in levels if not c.startswith("rare:")]
-    folded = {
-        c: F.when(F.col(c).isin(levels[f"rare:{c}"]), INFREQUENT).otherwise(F.coalesce(F.col(c), F.lit("missing")))
-        for c in names
-        if c in df.columns
-    }
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric}
-    return df.withColumns(folded | filled)
+def _prepare(df: DataFrame, levels: DataFrame, columns: Sequence[str], numeric: Sequence[str]) -> DataFrame:
+    """Levels rare in training take the shared one; levels it never saw stay as they are."""
+    for c in columns:
+        side = levels.filter((F.col("name") == c) & F.col("rare")).select(F.col("level").alias("_level"), F.col("rare").alias("_rare"))
+        folded = F.when(F.col("_rare"), INFREQUENT).otherwise(F.coalesce(F.col(c), F.lit("missing")))
+        df = df.join(side, F.col(c) == F.col("_level"), "left").withColumn(c, folded).drop("_level", "_rare")
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric})
 
 
 def propensity_fit(
@@ -138,16 +135,17 @@ def propensity_fit(
     numeric: Sequence[str] = NUMERIC,
     min_frequency: int = 20,
     scaler: str = "robust",
-    max_iter: int = 100,
+    max_iter: int = 1000,
 ) -> PropensityModel:
     """Class-balanced L2 logistic regression on one-hot and scaled features.
 
     Levels under ``min_frequency`` training rows share one column; a level not
-    seen in training carries no weight. The penalty equals that of a unit
+    seen in training carries no weight. Raises unless the fit converges within
+    ``max_iter``. The penalty equals that of a unit
     inverse strength on summed losses.
     """
-    levels = frequent_levels(train, categorical, min_frequency)
-    ready = _prepare(train, levels, numeric)
+    levels = level_table(train, categorical, min_frequency)
+    ready = _prepare(train, levels, categorical, numeric)
     counts = {r[0]: r[1] for r in train.groupBy(label).agg(F.count("*")).collect()}
     total = sum(counts.values())
     weight = F.lit(0.0)
@@ -155,7 +153,7 @@ def propensity_fit(
         weight = F.when(F.col(label) == value, F.lit(total / (len(counts) * n))).otherwise(weight)
     weighted = ready.withColumn("_weight", weight).withColumn("_label", F.col(label).cast("double"))
     scale = {"robust": RobustScaler, "standard": StandardScaler}[scaler]
-    centre = {"withCentering": True, "withScaling": True} if scaler == "robust" else {"withMean": True, "withStd": True}
+    centre = {"withCentering": True, "withScaling": True, "relativeError": 1e-6} if scaler == "robust" else {"withMean": True, "withStd": True}
     stages = [
         StringIndexer(inputCols=list(categorical), outputCols=[f"{c}_i" for c in categorical],
                       handleInvalid="keep", stringOrderType="alphabetAsc"),
@@ -169,6 +167,8 @@ def propensity_fit(
     ]
     with kept(weighted.select(*categorical, *numeric, "_weight", "_label")) as data:
         fitted = Pipeline(stages=stages).fit(data)
+    if fitted.stages[-1].summary.totalIterations >= max_iter:
+        raise RuntimeError(f"the logistic model has not converged after {max_iter} iterations")
     model = PropensityModel(fitted, levels, categorical, numeric, label)
     labels = fitted.stages[0].labelsArray
     width = fitted.stages[-1].numFeatures

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -120,9 +118,12 @@ def reject_listing(rejects: DataFrame) -> DataFrame:
     )
 
 
-def funnel_pivot(funnel: DataFrame, channels: Sequence[str]) -> DataFrame:
-    """Stages by channel. Naming the channels saves a pass to find them."""
-    wide = funnel.groupBy("stage_order", "stage").pivot("traffic_source", list(channels)).agg(F.sum("stage_sessions"))
+def funnel_pivot(funnel: DataFrame) -> DataFrame:
+    """Stages by channel, a column for every channel there is.
+
+    Raises above ``spark.sql.pivotMaxValues`` channels.
+    """
+    wide = funnel.groupBy("stage_order", "stage").pivot("traffic_source").agg(F.sum("stage_sessions"))
     return wide.na.fill(0).orderBy("stage_order")
 
 

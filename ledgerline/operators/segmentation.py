@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -19,6 +20,8 @@ from .ranking import FINE_CELLS, percentiles
 
 AXES = ("recency", "frequency", "monetary")
 RAW = {"recency": "recency_days", "frequency": "order_count", "monetary": "net_sales_value"}
+# Rounds after which a fit that still moves is an error.
+MAX_ROUNDS = 500
 # Segment names from best to worst.
 SEGMENTS = ("Champions", "New / Developing", "Hibernating")
 
@@ -56,15 +59,29 @@ def rfm_features(customers: DataFrame) -> DataFrame:
 
 
 def _vectors(features: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=[f"{a}_scaled" for a in AXES], outputCol="features").transform(features)
+    """Ordered by customer, so that a seed draws the same first centres in every run."""
+    assembler = VectorAssembler(inputCols=[f"{a}_scaled" for a in AXES], outputCol="features")
+    return assembler.transform(features.orderBy("customer_id"))
 
 
 def _best(data: DataFrame, k: int, restarts: int, seed: int) -> KMeansModel:
-    models = [KMeans(k=k, seed=seed + i, maxIter=20).fit(data) for i in range(restarts)]
-    return min(models, key=lambda m: m.summary.trainingCost)
+    """The cheapest of several fits, each run until the centres stand still.
+
+    Raises if one has not settled after ``MAX_ROUNDS``. The fits are independent
+    jobs on one kept training set, so several run at a time.
+    """
+
+    def fit(i: int) -> KMeansModel:
+        model = KMeans(k=k, seed=seed + i, maxIter=MAX_ROUNDS, tol=1e-4).fit(data)
+        if model.summary.numIter >= MAX_ROUNDS:
+            raise RuntimeError(f"k-means with k={k} has not settled after {MAX_ROUNDS} rounds")
+        return model
+
+    with ThreadPool(min(restarts, 8)) as pool:
+        return min(pool.map(fit, range(restarts)), key=lambda m: m.summary.trainingCost)
 
 
-def rfm_k_diagnostics(features: DataFrame, ks: Sequence[int] = (3, 4, 5, 6), restarts: int = 2, seed: int = 42) -> DataFrame:
+def rfm_k_diagnostics(features: DataFrame, ks: Sequence[int] = (3, 4, 5, 6), restarts: int = 4, seed: int = 42) -> DataFrame:
     """Inertia and silhouette (squared Euclidean) per number of clusters, over all customers."""
     rows = []
     with kept(_vectors(features).select("features")) as data:
@@ -112,7 +129,7 @@ def cluster_profile(assigned: DataFrame) -> DataFrame:
     return scored.withColumn("segment", F.coalesce(F.get(names, place - 1), F.concat(F.lit("Segment "), place)))
 
 
-def rfm_segment(features: DataFrame, k: int = 3, restarts: int = 2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def rfm_segment(features: DataFrame, k: int = 3, restarts: int = 4, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Customers with their segment, and the profile of the segments."""
     data = _vectors(features)
     with kept(data.select("features")) as training:
@@ -123,7 +140,7 @@ def rfm_segment(features: DataFrame, k: int = 3, restarts: int = 2, seed: int =
     return assigned.join(labels, "cluster_id"), profile
 
 
-def rfm_variant(features: DataFrame, k: int = 3, ks: Sequence[int] = (2, 3, 4, 5, 6, 7, 8), restarts: int = 2, seed: int = 42):
+def rfm_variant(features: DataFrame, k: int = 3, ks: Sequence[int] = (2, 3, 4, 5, 6, 7, 8), restarts: int = 4, seed: int = 42):
     """Standard scale, rank-sum naming with inverted recency, and the snake profile.
 
     Returns (segmented customers, snake profile, diagnostics over ``ks``).

@@ -185,7 +185,7 @@ PARTS: dict[str, str] = {
       FROM w_users""",
     "w_items": f"""
       SELECT i.order_item_id, i.order_id, i.user_id AS customer_id, i.product_id, i.inventory_item_id,
-        i.distribution_center_id, c.acquisition_source, c.country, c.age_band, p.category, p.department, p.brand,
+        p.distribution_center_id, c.acquisition_source, c.country, c.age_band, p.category, p.department, p.brand,
         i.item_status, i.created_at AS order_item_created_at, shipped_at, delivered_at, returned_at,
         {ymd('i.created_at')} AS order_date_key, CAST(date_trunc('month', i.created_at) AS DATE) AS month_start,
         i.sale_price, p.unit_cost, i.sale_price - p.unit_cost AS gross_margin_value,

@@ -154,10 +154,7 @@ register(
       UNION ALL SELECT 'events_into_sessions_rows', (SELECT COUNT(*) FROM w_events), (SELECT SUM(event_count) FROM w_visits)
       UNION ALL SELECT 'gross_sales_value', (SELECT SUM(sale_price)::DOUBLE FROM w_lines), (SELECT SUM(gross_sales_value)::DOUBLE FROM w_items))""",
 )
-register(
-    "K10_reconciliation_statement",
-    lambda w: w.reconciliation_statement,
-    """
+STATEMENT_SQL = """
     SELECT k AS step_order, stream, stage, entity, n AS row_count, v AS value_usd, n - LAG(n) OVER p AS row_delta,
       v - LAG(v) OVER p AS value_delta, expectation
     FROM (
@@ -171,7 +168,11 @@ register(
       UNION ALL SELECT 6, 'Plan', 'stg', 'stg.plan_submissions', COUNT(*), SUM(plan_net_sales_usd)::DOUBLE, 'Mapped and converted, all rows kept' FROM w_plan
       UNION ALL SELECT 7, 'Plan', 'qa', 'qa.plan_rejects', COUNT(*), NULL, 'Rows sent back to the region' FROM w_rejects
       UNION ALL SELECT 8, 'Plan', 'core', 'core.fact_plan', COUNT(*), SUM(plan_net_sales_usd)::DOUBLE, 'Accepted rows only' FROM w_targets)
-    WINDOW p AS (PARTITION BY stream ORDER BY k)""",
+    WINDOW p AS (PARTITION BY stream ORDER BY k)"""
+register(
+    "K10_reconciliation_statement",
+    lambda w: w.reconciliation_statement,
+    STATEMENT_SQL,
     rounded=["value_delta"],
 )
 register(

@@ -134,8 +134,8 @@ _add("A31_range_join",
      lambda w: w.price_volume_mix.groupBy("comparison_label").agg(F.sum("units_prior").alias("prior"), F.sum("units_current").alias("current")),
      "SELECT label AS comparison_label, COUNT(*) FILTER (CAST(order_item_created_at AS DATE) BETWEEN p1 AND p2) AS prior, COUNT(*) FILTER (CAST(order_item_created_at AS DATE) BETWEEN c1 AND c2) AS current FROM w_items, w_spans WHERE net_unit = 1 GROUP BY 1")
 _add("A32_self_join_pairs",
-     lambda w: associations.basket_rules(w.wide_order_item, w.dim_product, 1).filter(F.col("antecedent") < F.col("consequent")).select("antecedent", "consequent", "pair_orders"),
-     "SELECT a.category AS antecedent, b.category AS consequent, COUNT(DISTINCT a.order_id) AS pair_orders FROM w_items a JOIN w_items b ON a.order_id = b.order_id AND a.category < b.category WHERE a.net_sales_value > 0 AND b.net_sales_value > 0 GROUP BY 1, 2")
+     lambda w: associations.basket_rules(w.wide_order_item, w.dim_product).filter(F.col("antecedent") < F.col("consequent")).select("antecedent", "consequent", "pair_orders"),
+     "SELECT a.category AS antecedent, b.category AS consequent, COUNT(DISTINCT a.order_id) AS pair_orders FROM w_items a JOIN w_items b ON a.order_id = b.order_id AND a.category < b.category WHERE a.net_sales_value > 0 AND b.net_sales_value > 0 GROUP BY 1, 2 HAVING COUNT(DISTINCT a.order_id) >= 25")
 _add("A33_join_using", lambda w: w.stg_orders.select("order_id", "gender").join(w.stg_order_items.select("order_id", "sale_price"), ["order_id"]).groupBy("gender").agg(money_sum("sale_price").alias("v")),
      "SELECT gender, SUM(sale_price)::DOUBLE AS v FROM w_orders JOIN w_lines USING (order_id) GROUP BY 1")
 _add("A34_deduplicated_mapping",
@@ -168,8 +168,8 @@ _add("A42_median_and_quantile", lambda w: ranking.percentiles(w.fact_order, ["or
      rounded=["p50", "p90"])
 _add("A43_having", lambda w: w.stg_order_items.groupBy("order_id").agg(n_rows()).filter(F.col("n") >= 8).groupBy("n").agg(F.count("*").alias("orders")),
      "SELECT n, COUNT(*) AS orders FROM (SELECT order_id, COUNT(*) AS n FROM w_lines GROUP BY 1 HAVING COUNT(*) >= 8) GROUP BY 1")
-_add("A44_distinct_text_list", lambda w: w.wide_order_item.groupBy("category").agg(F.array_join(F.sort_array(F.collect_set("brand")), " | ").alias("brands")),
-     "SELECT category, string_agg(DISTINCT brand, ' | ' ORDER BY brand) AS brands FROM w_items GROUP BY 1")
+_add("A44_distinct_text_list", lambda w: w.wide_order_item.groupBy("category").agg(F.array_join(F.sort_array(F.collect_set("country")), " | ").alias("countries")),
+     "SELECT category, string_agg(DISTINCT country, ' | ' ORDER BY country) AS countries FROM w_items GROUP BY 1")
 _add("A45_scalar_subquery", lambda w: w.stg_orders.withColumn("lo", w.stg_orders.agg(F.min("created_at")).scalar()).filter(F.col("created_at") == F.col("lo")).agg(n_rows()),
      "SELECT COUNT(*) AS n FROM w_orders WHERE created_at = (SELECT MIN(created_at) FROM w_orders)")
 _add("A46_named_aggregation", lambda w: w.customer_360.groupBy("acquisition_source").agg(F.countDistinct("customer_id").alias("customers"), F.median("recency_days").alias("median_recency"), F.avg("order_count").alias("mean_orders"), money_sum("net_sales_value").alias("net_sales")),

@@ -10,6 +10,7 @@ from ..operators import forecasting, metrics, reporting, segmentation
 from .oracle import ratio
 from .queries_analytics import FORECAST_PARTS, _backtest, _monthly, _outlook, _series
 from .queries_quality import PARTS as QUALITY_PARTS
+from .queries_quality import STATEMENT_SQL
 from .registry import register
 
 ALL_PARTS = FORECAST_PARTS | QUALITY_PARTS
@@ -255,15 +256,16 @@ _report("R07_scenario_totals", lambda w: reporting.scenario_totals(forecasting.f
               MAX(assumed_margin_rate) AS assumed_margin, MAX(volume_multiplier) AS volume_multiplier, MAX(narrative) AS assumption FROM w_scenarios GROUP BY 1""",
         rounded=["net_sales", "net_profit", "assumed_margin"], digits=3)
 _report("R08_validation_listing", lambda w: reporting.gate_listing(w.plan_validation), "SELECT * EXCLUDE failure_rate FROM w_commercial_gate")
-_report("R08_statement_listing", lambda w: reporting.statement_listing(w.reconciliation_statement))
+_report("R08_statement_listing", lambda w: reporting.statement_listing(w.reconciliation_statement),
+        f"SELECT * EXCLUDE value_delta FROM ({STATEMENT_SQL})")
 _report("R08_reject_listing", lambda w: reporting.reject_listing(w.plan_rejects),
         "SELECT submitted_country, plan_month, currency_code, reject_reason FROM w_rejects")
-_channels = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-_report("R09_funnel_pivot", lambda w: reporting.funnel_pivot(w.funnel_stage_channel, _channels),
-        "SELECT k AS stage_order, s AS stage, " + ", ".join(
-            f"CAST(COALESCE(SUM(CASE k WHEN 1 THEN 1 WHEN 2 THEN product_view_flag WHEN 3 THEN cart_flag ELSE purchase_flag END) FILTER (traffic_source = '{c}'), 0) AS BIGINT) AS {c}"
-            for c in _channels) +
-        " FROM w_visits, (VALUES (1, 'Sessions'), (2, 'Product Viewed'), (3, 'Cart Reached'), (4, 'Purchase')) v(k, s) GROUP BY 1, 2")
+_report("R09_funnel_pivot", lambda w: reporting.funnel_pivot(w.funnel_stage_channel),
+        """SELECT * FROM (PIVOT (
+             SELECT k AS stage_order, s AS stage, traffic_source,
+               CAST(CASE k WHEN 1 THEN 1 WHEN 2 THEN product_view_flag WHEN 3 THEN cart_flag ELSE purchase_flag END AS BIGINT) AS reached
+             FROM w_visits, (VALUES (1, 'Sessions'), (2, 'Product Viewed'), (3, 'Cart Reached'), (4, 'Purchase')) v(k, s)
+           ) ON traffic_source USING CAST(SUM(reached) AS BIGINT))""")
 _report("R10_category_margin", lambda w: reporting.category_margin(w.product_performance_category),
         f"""SELECT department, category, SUM(net_sales_value)::DOUBLE AS net_sales_value, {ratio('SUM(net_profit_value)', 'SUM(net_sales_value)')} AS net_margin_rate,
               COUNT(*) AS items FROM w_items GROUP BY ALL ORDER BY net_sales_value DESC LIMIT 8""")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +21,28 @@ RUNTIME = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the workers, so that its functions run wherever they start."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="ledgerline-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    bundle = os.path.join(folder, "ledgerline.zip")
+    with zipfile.ZipFile(bundle, "w") as out:
+        for at, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(bundle)
+    _SHIPPED.add(context.applicationId)
+
+
 def local_session(cores: str | int = "*", partitions: int = 8, app: str = "ledgerline") -> SparkSession:
     """A local session for tests and the benchmark."""
     builder = (
@@ -32,6 +56,7 @@ def local_session(cores: str | int = "*", partitions: int = 8, app: str = "ledge
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 

@@ -32,11 +32,19 @@ ITEM_CUSTOMER_COLUMNS = ("country", "age_band")
 class _Sources(dict):
     """Source tables; one given as a function is opened on first use."""
 
+    def __init__(self, tables, planned: Callable):
+        super().__init__(tables)
+        self._planned = planned
+        self._open: dict[str, DataFrame] = {}
+
     def __getitem__(self, name: str) -> DataFrame:
         table = super().__getitem__(name)
-        if callable(table) and not isinstance(table, DataFrame):
-            table = self[name] = table()
-        return table
+        if isinstance(table, DataFrame):
+            return table
+        return self._planned(f"raw:{name}", self._open, name, table)
+
+    def close(self, name: str) -> None:
+        self._open.pop(name, None)
 
 
 class Warehouse:
@@ -48,20 +56,47 @@ class Warehouse:
         missing = [t for t in SOURCES if t not in raw]
         if missing:
             raise ValueError(f"missing source tables: {', '.join(missing)}")
-        self.raw = _Sources(raw)
+        self.raw = _Sources(raw, self._planned)
         self.comparisons = tuple(comparisons)
         self._tables: dict[str, DataFrame] = {}
+        self._written: set[str] = set()
+        self._building: list[str] = []
+        self._users: dict[str, set[str]] = {}
 
     def use(self, name: str, df: DataFrame) -> None:
-        """Stand a written table in for a planned one."""
+        """Stand a written table in for a planned one.
+
+        Plans made on the old one are dropped and made anew when they are next
+        asked for; tables that were themselves replaced stay.
+        """
         self._tables[name] = df
+        self._written.add(name)
+        stale = list(self._users.pop(name, ()))
+        while stale:
+            user = stale.pop()
+            if user in self._written:
+                continue
+            if user.startswith("raw:"):
+                self.raw.close(user.removeprefix("raw:"))
+            self._tables.pop(user, None)
+            stale += self._users.pop(user, ())
+
+    def _planned(self, node: str, made: dict[str, DataFrame], name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """``made[name]``, built once; notes which plan asks for it."""
+        if self._building:
+            self._users.setdefault(node, set()).add(self._building[-1])
+        if name not in made:
+            self._building.append(node)
+            try:
+                made[name] = build()
+            finally:
+                self._building.pop()
+        return made[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in BUILDERS:
             raise AttributeError(name)
-        if name not in self._tables:
-            self._tables[name] = BUILDERS[name](self)
-        return self._tables[name]
+        return self._planned(name, self._tables, name, lambda: BUILDERS[name](self))
 
     def source_gate(self, *only: str) -> DataFrame:
         return gates.source_gate(self.raw, only or None)

@@ -12,7 +12,9 @@ from ..plans.session import checkpoint_folder
 from ..plans.warehouse import SOURCES, Warehouse
 from .schemas import schema
 
-# Tables of the two export sets and of the quality set.
+# Source tables whose texts people type, so that a field may hold a line break.
+MULTI_LINE = ("users", "products", "country_master", "plan_submissions")
+# Tables of the two export sets and of the quality set.
 MODEL_TABLES = (
     "dim_date", "dim_customer", "dim_product", "dim_distribution_center", "dim_session_traffic_source",
     "dim_acquisition_source", "fact_order", "fact_order_item", "fact_session", "fact_inventory", "funnel_stage_channel",
@@ -67,12 +69,22 @@ def check_source_files(spark: SparkSession, folder: str, tables: Sequence[str] =
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Header is checked against the contract; an empty field is NULL."""
+    """RFC 4180: quotes are doubled inside quoted fields, an empty field is NULL.
+
+    The header is checked against the contract, and a line with too few or too many
+    fields fails the job. Quoted line breaks are allowed in the tables of
+    ``MULTI_LINE``; a file of these is read by one task, so a large one is better
+    delivered as a folder of many files. All other files are split.
+    """
     return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("nullValue", "")
-        .option("multiLine", False)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", table in MULTI_LINE)
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
         .schema(schema(table))
         .csv(path)
     )
@@ -86,7 +98,16 @@ def open_warehouse(spark: SparkSession, folder: str, comparisons=()) -> Warehous
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """RFC 4180 with a header; blanks around a value are kept, NULL is an empty field."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -240,7 +240,7 @@ def test_segments(warehouse):
 def test_propensity(warehouse):
     feats = propensity.propensity_features(warehouse.wide_order_item, warehouse.fact_order, warehouse.dim_product, warehouse.dim_customer)
     train, test = propensity.split_by_date(feats, dt.date(2000, 1, 1))
-    model = propensity.propensity_fit(train, max_iter=20)
+    model = propensity.propensity_fit(train)
     scored = propensity.risk_deciles(model.score(test))
     assert scored.count() == test.count()
     lift = propensity.decile_lift(scored).collect()

@@ -3,6 +3,8 @@
 import glob
 import json
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -104,3 +106,48 @@ def test_warehouse_needs_every_source(spark):
     with pytest.raises(ValueError, match="events"):
         Warehouse({"users": spark.range(1)})
     assert bind(spark, "/root/testdata/sf0.001") is bind(spark, "/root/testdata/sf0.001/")
+
+
+def test_csv_is_rfc_4180(spark, tmp_path):
+    folder = write_sources(tmp_path)
+    head = ",".join(schemas.COLUMNS["products"].split())
+    lines = ['1,4.5,Cat,"Chino ""Slim"", 32 in",B,10.0,Dept,S1,1', '2,4.5,Cat,"two\nlines", C ,10.0,Dept,S2,1', "3,4.5,Cat,,,10.0,Dept,S3,1"]
+    (tmp_path / "products.csv").write_text("\n".join([head, *lines]) + "\n", encoding="utf-8")
+    rows = {r.id: r for r in files.read_csv(spark, f"{folder}/products.csv", "products").collect()}
+    assert (rows["1"].name, rows["1"].brand, rows["1"].retail_price) == ('Chino "Slim", 32 in', "B", "10.0")
+    assert (rows["2"].name, rows["2"].brand, rows["3"].name) == ("two\nlines", " C ", None)
+    files.write_csv(files.read_csv(spark, f"{folder}/products.csv", "products"), f"{tmp_path}/out")
+    again = {r.id: r for r in files.read_csv(spark, f"{tmp_path}/out", "products").collect()}
+    assert again == rows
+    text = "".join(open(f).read() for f in glob.glob(f"{tmp_path}/out/*.csv"))
+    assert '"Chino ""Slim"", 32 in"' in text
+    (tmp_path / "products.csv").write_text("\n".join([head, "1,4.5,Cat"]) + "\n", encoding="utf-8")
+    with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
+        files.read_csv(spark, f"{folder}/products.csv", "products").select("id").collect()
+
+
+def test_use_drops_plans_on_the_old_table(spark, tmp_path):
+    w = bind(spark, "/root/testdata/sf0.001")
+    w = type(w)(dict(w.raw), w.comparisons)
+    old, untouched = w.sales_monthly, w.dim_customer
+    files.materialize(w, ["wide_order_item"], folder=str(tmp_path))
+    assert w.sales_monthly is not old and w.dim_customer is untouched
+    assert any("wide_order_item" in f for f in w.sales_monthly.inputFiles())
+    assert not any("lineitem" in f for f in w.customer_360.inputFiles())
+    marked = w.wide_order_item
+    files.materialize(w, ["stg_products"], folder=str(tmp_path / "b"))
+    assert w.wide_order_item is marked  # a written table stays
+
+
+def test_python_parts_run_from_another_folder(tmp_path):
+    code = (
+        "import sys; sys.path.insert(0, '/root/repo')\n"
+        "import __spark_entry__ as e\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
+        "q = e.queries()\n"
+        "for k in ('L18_chi_square_p_value', 'N04_holt_winters_log'): print(k, q[k](s, '/root/testdata/sf0.001').count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
