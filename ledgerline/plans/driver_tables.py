@@ -290,11 +290,12 @@ def bind(spark: SparkSession, sf_dir: str) -> Warehouse:
     sf_dir = sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BOUND:
-        _BOUND[key] = _bind(spark, sf_dir)
+        _BOUND[key] = fresh(spark, sf_dir)
     return _BOUND[key]
 
 
-def _bind(spark: SparkSession, sf_dir: str) -> Warehouse:
+def fresh(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse of its own, for callers that replace tables by written ones."""
     openers = (
         users, products, orders, order_items, events, inventory_events, distribution_centers, country_master
     )

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,14 @@ MONTHLY = {
     "fact_session": "session_date_key",
     "fact_inventory": "inventory_created_date_key",
 }
+# Tables that others are built on; each step is planned on the files of the steps before it.
+BUILD_STEPS = (
+    ("dim_customer", "dim_product", "dim_date", "stg_sessions"),
+    ("wide_order_item", "fact_session", "fact_order", "fact_inventory"),
+    ("sales_monthly", "actual_country_month", "customer_360"),
+    ("fact_plan", "price_volume_mix"),
+    ("plan_vs_actual_monthly", "commercial_scorecard"),
+)
 
 
 class MissingSource(FileNotFoundError):
@@ -118,17 +127,30 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
+def _together(work: Callable[[str], None], names: Sequence[str], at_once: int) -> None:
+    """Call ``work`` for each name, ``at_once`` at a time; the jobs of small tables then share the cluster."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(work, name) for name in names]:
+            done.result()
+
+
 def export_tables(
-    warehouse: Warehouse, folder: str, names: Sequence[str], formats: Sequence[str] = ("parquet", "csv")
+    warehouse: Warehouse,
+    folder: str,
+    names: Sequence[str],
+    formats: Sequence[str] = ("parquet", "csv"),
+    at_once: int = 1,
 ) -> dict[str, int]:
-    """Write tables and return the row counts of what was written.
+    """Write tables, ``at_once`` at a time, and return the row counts of what was written.
 
     With both formats the table is computed once: CSV is written from the parquet,
     whose footers hold the count.
     """
+    planned = {name: warehouse.table(name) for name in names}
     counts: dict[str, int] = {}
-    for name in names:
-        df = warehouse.table(name)
+
+    def write(name: str) -> None:
+        df = planned[name]
         if "parquet" in formats:
             path = f"{folder}/parquet/{name}"
             write_parquet(df, path)
@@ -136,31 +158,49 @@ def export_tables(
         if "csv" in formats:
             write_csv(df, f"{folder}/csv/{name}")
         counts[name] = df.count()
-    return counts
+
+    _together(write, names, at_once)
+    return {name: counts[name] for name in names}
 
 
-def materialize(warehouse: Warehouse, names: Sequence[str], folder: str | None = None) -> dict[str, str]:
+def materialize(
+    warehouse: Warehouse, names: Sequence[str], folder: str | None = None, at_once: int = 1
+) -> dict[str, str]:
     """Write tables once and let everything built on them read the files.
 
     The default folder is the shared one the cluster names. Facts are laid out by
-    month, so a date filter prunes directories.
+    month, so a date filter prunes directories. Each group of ``at_once`` names is
+    written together and planned on the groups before it.
     """
     paths: dict[str, str] = {}
-    for name in names:
-        df = warehouse.table(name)
-        spark = df.sparkSession
-        base = folder or f"{checkpoint_folder(spark)}/tables"
-        path = paths[name] = f"{base}/{name}"
-        if name in MONTHLY:
-            key = F.floor(F.col(MONTHLY[name]) / 100).cast("int")
-            write_parquet(df.withColumn("month_key", key), path, ["month_key"])
-        else:
-            write_parquet(df, path)
-        back = spark.read.parquet(path)
-        warehouse.use(name, back.select(*df.columns))
+    for first in range(0, len(names), at_once):
+        planned = {name: warehouse.table(name) for name in names[first : first + at_once]}
+        for name, df in planned.items():
+            paths[name] = f"{folder or f'{checkpoint_folder(df.sparkSession)}/tables'}/{name}"
+
+        def write(name: str, planned=planned) -> None:
+            df = planned[name]
+            if name in MONTHLY:
+                key = F.floor(F.col(MONTHLY[name]) / 100).cast("int")
+                write_parquet(df.withColumn("month_key", key), paths[name], ["month_key"])
+            else:
+                write_parquet(df, paths[name])
+
+        _together(write, list(planned), at_once)
+        for name, df in planned.items():
+            warehouse.use(name, df.sparkSession.read.parquet(paths[name]).select(*df.columns))
     return paths
 
 
+def build(
+    warehouse: Warehouse, folder: str, formats: Sequence[str] = ("parquet", "csv"), at_once: int = 4
+) -> dict[str, int]:
+    """The whole warehouse: shared tables once, then every model table and gate; row counts by table."""
+    for step in BUILD_STEPS:
+        materialize(warehouse, step, f"{folder}/shared", at_once=len(step))
+    return export_tables(warehouse, folder, (*MODEL_TABLES, *QUALITY_TABLES), formats, at_once)
+
+
 def run_metadata(
     spark: SparkSession,
     path: str,

@@ -81,13 +81,25 @@ def test_export_counts_and_metadata(spark, warehouse, tmp_path):
 def test_materialized_tables_give_the_same_marts(spark, warehouse, tmp_path):
     from ledgerline.plans import driver_tables
 
-    fresh = driver_tables._bind(spark, "/root/testdata/sf0.001")
+    fresh = driver_tables.fresh(spark, "/root/testdata/sf0.001")
     files.materialize(fresh, ["wide_order_item", "dim_date"], str(tmp_path / "gold"))
     assert os.path.isdir(tmp_path / "gold" / "wide_order_item" / "month_key=199701")
     key = lambda rows: sorted(map(tuple, rows))
     assert key(fresh.sales_monthly.collect()) == key(warehouse.sales_monthly.collect())
 
 
+def test_build_writes_what_the_lazy_tables_give(spark, warehouse, tmp_path):
+    from ledgerline.plans import driver_tables
+
+    counts = files.build(driver_tables.fresh(spark, "/root/testdata/sf0.001"), str(tmp_path), formats=("parquet",))
+    assert list(counts) == [*files.MODEL_TABLES, *files.QUALITY_TABLES]
+    key = lambda df: sorted(map(str, df.collect()))
+    for name in ("customer_360", "plan_vs_actual_region", "raw_test_results"):
+        written = spark.read.parquet(f"{tmp_path}/parquet/{name}")
+        assert key(written) == key(warehouse.table(name)), name
+        assert counts[name] == written.count()
+
+
 def test_checkpoint_folder(spark):
     class Named:
         """A session whose cluster names a folder."""
