@@ -105,20 +105,41 @@ def product_performance_brand(items: DataFrame, products: DataFrame) -> DataFram
 
 
 def geography_performance(items: DataFrame, customers: DataFrame, countries: DataFrame) -> DataFrame:
-    """Conformed market totals, with the source spellings they came from."""
+    """Conformed market totals, with the source spellings they came from.
+
+    Items shrink to one row per order and customer first, and both distinct counts
+    start from these rows. A customer has one spelling, so customers add up over
+    spellings; orders are told apart per market.
+    """
     market = ["canonical_country", "region", "sub_region"]
     spelled = attach(items, customers, "customer_id", "user_id", ["country"])
-    totals = (
+    sums = ["items", "net_sales_value", "net_profit_value", "_returned", "_eligible"]
+    add_up = lambda names: [F.sum(c).alias(c) for c in names]
+    bought = (
         attach(spelled, country_lookup(countries), "country", "source_country_value", market)
-        .groupBy(*market)
+        .groupBy(*market, "country", "customer_id", "order_id")
         .agg(
-            F.countDistinct("order_id").alias("orders"),
-            F.countDistinct("customer_id").alias("customers"),
             F.count("*").alias("items"),
-            money_sum("net_sales_value").alias("net_sales_value"),
-            money_sum("net_profit_value").alias("net_profit_value"),
+            exact_sum("net_sales_value").alias("net_sales_value"),
+            exact_sum("net_profit_value").alias("net_profit_value"),
             flag_sum("returned_item_flag").alias("_returned"),
             flag_sum("return_observation_eligible_flag").alias("_eligible"),
+        )
+    )
+    spellings = (
+        bought.groupBy(*market, "country", "customer_id")
+        .agg(*add_up(sums))
+        .groupBy(*market, "country")
+        .agg(F.count("customer_id").alias("customers"), *add_up(sums))
+    )
+    orders = bought.select(*market, "order_id").distinct().groupBy(*market).agg(F.count("order_id").alias("orders"))
+    totals = (
+        spellings.unionByName(orders, allowMissingColumns=True)
+        .groupBy(*market)
+        .agg(
+            *add_up(["orders", "customers", "items", "_returned", "_eligible"]),
+            money_sum("net_sales_value").alias("net_sales_value"),
+            money_sum("net_profit_value").alias("net_profit_value"),
             F.array_join(F.sort_array(F.collect_set("country")), " | ").alias("source_spellings"),
         )
     )
