@@ -27,9 +27,10 @@ BOXES = (13, 13, 13, 13, 12)
 BUDGET = 2
 # Up to so many fingerprints with one chain are compared pair by pair; more of them by single-bit variants.
 BUCKET = 8
-# The search by similarity: bits, box width and equal boxes of a chain.
-WIDE_LANES, WIDE_BOX, WIDE_CHAIN = 16, 8, 3
+# The search by similarity: 64-bit lanes of the fingerprint, boxes of the sample ring and equal boxes of a chain.
+WIDE_LANES, RING_BOXES, RING_CHAIN = 32, 32, 3
 _MIX = np.random.default_rng(20).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_RING_MIX = np.random.default_rng(21).integers(1, 2**63, RING_BOXES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLOCK = 255
 
 
@@ -59,22 +60,36 @@ def _majority(hashes: np.ndarray, lanes: int) -> bytes:
     return np.packbits(totals * 2 > n).tobytes()
 
 
-def fingerprints(
-    docs: DataFrame, text: str = "text", words: int = 3, lanes: int = 1, keep: Sequence[str] | None = None, distinct: bool = False
-) -> DataFrame:
-    """Add ``fp``, the fingerprint as 8 bytes for each lane, to every row.
+def _sample_chains(hashes: np.ndarray) -> np.ndarray:
+    """One key for each start on the ring: what ``RING_CHAIN`` consecutive boxes hold there.
+
+    A box holds the fingerprint of one sampled shingle, the lowest under the box's
+    own mixing, so two sets are equal in a box with the probability of their
+    similarity, however many texts there are.
+    """
+    lowest = np.full(RING_BOXES, np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(hashes), _BLOCK * 16):
+        part = hashes[start : start + _BLOCK * 16, None] * _RING_MIX[None, :]
+        part ^= part >> np.uint64(32)
+        np.minimum(lowest, part.min(axis=0), out=lowest)
+    key = np.arange(RING_BOXES, dtype=np.uint64)
+    for k in range(RING_CHAIN):
+        key = (key ^ np.roll(lowest, -k)) * _MIX[k]
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
+
+
+def fingerprints(docs: DataFrame, text: str = "text", words: int = 3, keep: Sequence[str] | None = None) -> DataFrame:
+    """Add ``fp``, the fingerprint as 8 bytes, to every row.
 
     Words are runs without ASCII blanks, A-Z lower-cased; repeated shingles count
-    as often as they occur, or once if ``distinct``. A null text, like one without words, has all bits zero.
+    as often as they occur. A null text, like one without words, has all bits zero.
     """
 
     def make():
-        zero = bytes(8 * lanes)
-
         def work(texts):
             made = (shingle_hashes(t, words) for t in as_bytes(texts))
-            made = map(np.unique, made) if distinct else made
-            return [pa.array([_majority(h, lanes) if len(h) else zero for h in made], pa.binary())]
+            return [pa.array([_majority(h, 1) if len(h) else bytes(8) for h in made], pa.binary())]
 
         return work
 
@@ -154,7 +169,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     zero and link like any other. Null ids are ignored by the minimum; repeated
     rows stay; other columns are not carried.
     """
-    made = fingerprints(docs, text, words, 1, [doc_id])
+    made = fingerprints(docs, text, words, [doc_id])
     rows = stored(made.select(named(doc_id).alias("id"), F.lower(F.hex("fp")).alias("fingerprint"), _as_long("fp").alias("v")), "fingerprints")
     nodes = rows.groupBy("v").agg(F.min("id").alias("low"))
     roots = components(near_links(nodes.select("v"))).select(F.col("node").alias("v"), "root")
@@ -185,29 +200,37 @@ def ring_holds(boxes: np.ndarray, budget: int) -> np.ndarray:
     return alive.any(axis=1)
 
 
-def similar_links(nodes: DataFrame, similarity: float, lanes: int = WIDE_LANES) -> DataFrame:
-    """Links (a, b) between ids of similar wide fingerprints; ``nodes`` has distinct ``fp`` and its ``id``.
+def wide_fingerprints(docs: DataFrame, text: str, words: int, keep: Sequence[str]) -> DataFrame:
+    """Add ``fp``, the wide fingerprint of the set of shingles, and ``chains``, the keys of its sample ring.
 
-    A budget this wide leaves no box that must be equal, so candidates come from
-    chains of three equal boxes, which pairs at the wanted similarity have
-    somewhere on the ring with the measured probability that the README gives.
-    Under each chain, every fingerprint meets one leader, another for each
-    chain; no group is spelled out in pairs.
+    A text without words has all bits zero and no chains.
     """
-    budget = bit_budget(similarity, lanes)
 
     def make():
-        def work(fp):
-            ring = np.frombuffer(b"".join(fp.to_pylist()), np.uint8).reshape(len(fp), -1).astype(np.int64)
-            key = np.arange(ring.shape[1])[None, :] << WIDE_BOX * WIDE_CHAIN
-            for k in range(WIDE_CHAIN):
-                key = key | np.roll(ring, -k, axis=1) << WIDE_BOX * k
-            at = np.arange(0, key.size + 1, key.shape[1], dtype=np.int32)
-            return [pa.ListArray.from_arrays(pa.array(at), pa.array(key.ravel()))]
+        def work(texts):
+            sets = [np.unique(shingle_hashes(t, words)) for t in as_bytes(texts)]
+            prints = [_majority(h, WIDE_LANES) if len(h) else bytes(8 * WIDE_LANES) for h in sets]
+            chains = [_sample_chains(h) if len(h) else np.zeros(0, np.int64) for h in sets]
+            at = np.cumsum([0, *map(len, chains)], dtype=np.int32)
+            flat = np.concatenate(chains) if chains else np.zeros(0, np.int64)
+            return [pa.array(prints, pa.binary()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))]
 
         return work
 
-    keyed = apply_arrow(nodes, ["fp"], "chains array<bigint>", make, ["id"]).select("id", F.explode("chains").alias("chain"))
+    return apply_arrow(docs, [text], "fp binary, chains array<bigint>", make, keep)
+
+
+def similar_links(nodes: DataFrame, similarity: float, lanes: int = WIDE_LANES) -> DataFrame:
+    """Links (a, b) between ids of similar wide fingerprints; ``nodes`` has distinct ``fp``, its ``id`` and ``chains``.
+
+    A budget this wide leaves no chain of bits that must be equal, so candidates
+    come from the sample ring: at similarity 0.8 two sets have no three equal
+    consecutive boxes of 32 once in 100,000 cases. Under each chain, every
+    fingerprint meets one leader, another for each chain; no group is spelled out
+    in pairs.
+    """
+    budget = bit_budget(similarity, lanes)
+    keyed = nodes.select("id", F.explode("chains").alias("chain"))
     rank = F.struct(F.xxhash64("chain", "id").alias("r"), F.col("id").alias("leader"))
     leaders = keyed.groupBy("chain").agg(F.min(rank).alias("top"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     met = (
@@ -241,11 +264,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     Texts without words are alike. Of ids that are equal, or null (which come
     last), the smaller text hash decides; of repeated rows one stays.
     """
-    made = fingerprints(docs.select("*", row_key(text).alias("_text_key")), text, words, WIDE_LANES, [doc_id, "_text_key"], True)
-    rows = stored(made.select(named(doc_id).alias("doc"), F.col("_text_key").alias("text_key"), "fp"), "wide-fingerprints")
-    first = F.struct(F.col("doc").isNull().alias("none"), "doc", "text_key")
+    own = docs.select(named(doc_id).alias("doc"), named(text).alias("text"), row_key(text).alias("text_key"))
+    rows = wide_fingerprints(own, "text", words, ["doc", "text_key"])
+    first = F.struct(F.col("doc").isNull().alias("none"), "doc", "text_key", "chains")
     nodes = stored(rows.groupBy("fp").agg(F.min(first).alias("first")).withColumn("id", F.unhex(F.md5("fp"))), "wide-nodes")
-    links = similar_links(nodes.select("id", "fp"), similarity)
+    links = similar_links(nodes.select("id", "fp", "first.chains"), similarity)
     roots = components(links).select(F.col("node").alias("id"), "root")
     chosen = (
         nodes.join(roots, "id", "left")

@@ -213,6 +213,21 @@ def test_keep_one(spark, tricky, nothing):
     assert simhash.keep_one(nothing).count() == 0
 
 
+def test_keep_one_finds_pairs_near_the_threshold_among_shared_passages(spark):
+    draw = random.Random(6)
+    words = [f"w{k}" for k in range(20000)]
+    passage = [draw.choice(words) for _ in range(70)]  # in every text
+    rows = []
+    for g in range(300):
+        text = [draw.choice(words) for _ in range(280)] + passage
+        edited = list(text)
+        for at in draw.sample(range(10, 280, 8), 7):  # 35 of 346 shingles change: similarity about 0.82
+            edited[at] = "changed"
+        rows += [(2 * g, " ".join(text)), (2 * g + 1, " ".join(edited))]
+    left = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {2 * g for g in range(300)} <= left and len(left) <= 303
+
+
 # test items
 
 
