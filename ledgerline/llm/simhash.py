@@ -5,7 +5,8 @@ most ``budget`` bits, some box starts a chain of consecutive boxes whose
 cumulative differences never exceed the proportional share of the budget. Where
 that share is below one for the first boxes, these must be equal, which makes
 them a join key; the rest of the chain is checked on the pairs that meet, and
-the full Hamming distance on those that are left.
+the full Hamming distance on those that are left. Where the budget is too wide
+for equal boxes of bits, chains run over boxes of sampled shingles instead.
 """
 
 from __future__ import annotations
