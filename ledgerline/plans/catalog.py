@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries_analytics, queries_model, queries_quality, queries_relational, queries_reports  # noqa: F401  (registers on import)
+from . import queries_analytics, queries_files, queries_model, queries_quality, queries_relational, queries_reports  # noqa: F401  (registers on import)
 from .registry import REGISTRY
 
 

@@ -11,7 +11,7 @@ from oracle_check import compare, connect
 from ledgerline.plans import catalog
 
 QUICK = (
-    "A32_self_join_pairs", "B06_reconstruct_sessions", "C01_dim_date", "D02_fact_order_item", "D03_fact_session",
+    "A01_csv_scan", "A03_csv_sink", "A05_dual_export", "A32_self_join_pairs", "B06_reconstruct_sessions", "C01_dim_date", "D02_fact_order_item", "D03_fact_session",
     "E01_funnel_stage", "F01_sales_monthly", "F06_cohort_retention", "G01_operations_monthly", "H02_plan_vs_actual_monthly",
     "H04_price_volume_mix", "K07_warehouse_gate", "L05_gini_by_country", "L15_basket_rules", "L19_kruskal_wallis",
     "N06_forecast_accuracy", "Q06_year_over_year", "R08_statement_listing", "R09_funnel_pivot", "R12_retention_matrix",
