@@ -129,6 +129,15 @@ def cluster_profile(assigned: DataFrame) -> DataFrame:
     return scored.withColumn("segment", F.coalesce(F.get(names, place - 1), F.concat(F.lit("Segment "), place)))
 
 
+def nearest_centre(features: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:
+    """``cluster_id`` and squared distance of the nearest of stored centres (scaled axes); the first of equally near ones."""
+    far = [sum((F.col(f"{a}_scaled") - F.lit(float(x))) ** 2 for a, x in zip(AXES, c)) for c in centres]
+    best = F.array_min(F.array(*[F.struct(d.alias("distance"), F.lit(i).alias("id")) for i, d in enumerate(far)]))
+    return features.withColumn("_best", best).select(
+        *features.columns, F.col("_best.id").alias("cluster_id"), F.col("_best.distance").alias("distance")
+    )
+
+
 def rfm_segment(features: DataFrame, k: int = 3, restarts: int = 2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Customers with their segment, and the profile of the segments."""
     data = _vectors(features)

@@ -16,17 +16,18 @@ SPLIT = dt.date(2000, 1, 1)
 
 # --- segments and concentration ----------------------------------------------
 
-register(
-    "L01_rfm_features",
-    lambda w: segmentation.rfm_features(w.customer_360),
-    f"""
+_features = f"""
     WITH a AS (SELECT customer_id, recency_days, order_count, net_sales_value, observed_return_rate,
         ln(1 + greatest(recency_days, 0)::DOUBLE) AS recency, ln(1 + order_count::DOUBLE) AS frequency,
         ln(1 + net_sales_value::DOUBLE) AS monetary FROM w_c360 WHERE net_sales_value > 0 AND order_count > 0),
       q AS (SELECT {", ".join(f"quantile_cont({c}, {p}) AS {c}{i}" for c in segmentation.AXES
                               for i, p in ((1, 0.25), (2, 0.5), (3, 0.75)))} FROM a)
     SELECT a.*, {", ".join(f"({c} - {c}2) / CASE WHEN {c}3 = {c}1 THEN 1 ELSE {c}3 - {c}1 END AS {c}_scaled" for c in segmentation.AXES)}
-    FROM a, q""",
+    FROM a, q"""
+register(
+    "L01_rfm_features",
+    lambda w: segmentation.rfm_features(w.customer_360),
+    _features,
     doubles=["net_sales_value"],
     rounded=[*segmentation.AXES, *[f"{a}_scaled" for a in segmentation.AXES]],
 )
@@ -35,6 +36,49 @@ register("L03_rfm_segment", lambda w: segmentation.rfm_segment(segmentation.rfm_
 register("L03_rfm_segment_profile", lambda w: segmentation.rfm_segment(segmentation.rfm_features(w.customer_360))[1])
 register("L04_rfm_variant", lambda w: segmentation.rfm_variant(segmentation.rfm_features(w.customer_360))[1])
 
+# Stored centres on the scaled axes: naming, profile and shares can then be checked apart from the fit.
+CENTRES = ((0.9, -0.5, -0.6), (0.0, 0.0, 0.1), (-0.6, 0.7, 0.7))
+_far = ", ".join(
+    f"({i}, " + " + ".join(f"({a}_scaled - ({x})) * ({a}_scaled - ({x}))" for a, x in zip(segmentation.AXES, c)) + ")" for i, c in enumerate(CENTRES)
+)
+_nearest = f"""SELECT f.*, (SELECT arg_min(i, x) FROM (VALUES {_far}) d(i, x)) AS cluster_id, (SELECT min(x) FROM (VALUES {_far}) d(i, x)) AS distance
+    FROM ({_features}) f"""
+_profile = f"""
+    WITH n AS ({_nearest}),
+      p AS (SELECT cluster_id, COUNT(*) AS customers, AVG(order_count) AS mean_order_count, SUM(net_sales_value) AS total_net_sales,
+          AVG(observed_return_rate) AS mean_return_rate, quantile_cont(recency_days::DOUBLE, 0.5) AS median_recency_days,
+          quantile_cont(net_sales_value::DOUBLE, 0.5) AS median_net_sales FROM n GROUP BY 1),
+      r AS (SELECT *, {" ".join(
+          f"{sign} (rank() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE) / COUNT(*) OVER ()"
+          for sign, c in (("", "mean_order_count"), ("+", "median_net_sales"), ("-", "median_recency_days")))} AS value_score FROM p)
+    SELECT *, CASE row_number() OVER (ORDER BY value_score DESC, cluster_id)
+      {" ".join(f"WHEN {i + 1} THEN '{name}'" for i, name in enumerate(segmentation.SEGMENTS))} END AS segment FROM r"""
+
+
+def _at_centres(w):
+    return segmentation.nearest_centre(segmentation.rfm_features(w.customer_360), CENTRES)
+
+
+register(
+    "L03_rfm_segment_stored_centres",
+    lambda w: _at_centres(w).select("customer_id", "cluster_id", "distance"),
+    f"SELECT customer_id, cluster_id, distance FROM ({_nearest})",
+    rounded=["distance"],
+)
+register(
+    "L03_rfm_profile_stored_centres",
+    lambda w: segmentation.cluster_profile(_at_centres(w)),
+    _profile,
+    rounded=["mean_order_count", "total_net_sales", "mean_return_rate", "median_recency_days", "median_net_sales", "value_score"],
+)
+register(
+    "R15_rfm_shares_stored_centres",
+    lambda w: segmentation.segment_shares(segmentation.cluster_profile(_at_centres(w))),
+    f"""SELECT segment, customers, {ratio('customers', 'SUM(customers) OVER ()')} AS customer_share, median_recency_days, mean_order_count,
+        median_net_sales, total_net_sales, {ratio('total_net_sales', 'SUM(total_net_sales) OVER ()')} AS revenue_share FROM ({_profile})""",
+    rounded=["customer_share", "median_recency_days", "mean_order_count", "median_net_sales", "total_net_sales", "revenue_share"],
+)
+
 _spend = "SELECT customer_id, SUM(net_sales_value) AS v FROM w_items GROUP BY 1 HAVING SUM(net_sales_value) >= 0"
 _gini = f"""COUNT(*) AS owners, {ratio('2 * SUM(i * v::DOUBLE) - (COUNT(*) + 1) * SUM(v)::DOUBLE', 'COUNT(*) * SUM(v)')} AS gini"""
 register(
