@@ -30,6 +30,8 @@ BUDGET = 2
 BUCKET = 8
 # The search by similarity: 64-bit lanes of the fingerprint, boxes of the sample ring and equal boxes of a chain.
 WIDE_LANES, RING_BOXES, RING_CHAIN = 32, 32, 3
+# Fingerprints of a block, of which two are compared in a task; bits of a slot that counts shingles.
+CELL, COUNT_BITS = 64, 20
 _MIX = np.random.default_rng(20).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _RING_MIX = np.random.default_rng(21).integers(1, 2**63, RING_BOXES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLOCK = 255
@@ -221,27 +223,10 @@ def wide_fingerprints(docs: DataFrame, text: str, words: int, keep: Sequence[str
     return apply_arrow(docs, [text], "fp binary, chains array<bigint>", make, keep)
 
 
-def similar_links(nodes: DataFrame, similarity: float, lanes: int = WIDE_LANES) -> DataFrame:
-    """Links (a, b) between ids of similar wide fingerprints; ``nodes`` has distinct ``fp``, its ``id`` and ``chains``.
-
-    A budget this wide leaves no chain of bits that must be equal, so candidates
-    come from the sample ring: at similarity 0.8 two sets have no three equal
-    consecutive boxes of 32 once in 100,000 cases. Under each chain, every
-    fingerprint meets one leader, another for each chain; no group is spelled out
-    in pairs.
-    """
-    budget = bit_budget(similarity, lanes)
-    keyed = nodes.select("id", F.explode("chains").alias("chain"))
-    rank = F.struct(F.xxhash64("chain", "id").alias("r"), F.col("id").alias("leader"))
-    leaders = keyed.groupBy("chain").agg(F.min(rank).alias("top"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    met = (
-        keyed.join(leaders.select("chain", "top.leader"), "chain")
-        .where(F.col("id") != F.col("leader"))
-        .select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b"))
-        .distinct()
-    )
+def _near(pairs: DataFrame, nodes: DataFrame, budget: int, lanes: int) -> DataFrame:
+    """Those of the pairs (a, b) whose fingerprints differ in at most ``budget`` bits."""
     side = lambda key, fp: nodes.select(F.col("id").alias(key), F.col("fp").alias(fp))
-    paired = met.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    paired = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
 
     def check():
         def work(x, y):
@@ -257,6 +242,140 @@ def similar_links(nodes: DataFrame, similarity: float, lanes: int = WIDE_LANES)
     return apply_arrow(paired, ["x", "y"], "near boolean", check, ["a", "b"]).where("near").select("a", "b")
 
 
+def _all_pairs(rows: DataFrame, differ: Column | None = None) -> DataFrame:
+    """Every pair of ids under one ``key``, once; for keys of few ids."""
+    left, right = rows.alias("l"), rows.alias("r")
+    met = left.join(right, F.col("l.key") == F.col("r.key")).where(F.col("l.id") > F.col("r.id"))
+    met = met if differ is None else met.where(differ)
+    return met.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
+
+
+def _unsettled(rows: DataFrame) -> DataFrame:
+    """Rows (key, id, colour) of the keys whose ids have several colours, with the number ``n`` of ids."""
+    keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("colour").alias("low"), F.max("colour").alias("high"))
+    return rows.join(keys.where(F.col("low") != F.col("high")).select("key", "n"), "key")
+
+
+def _cell_links(rows: DataFrame, nodes: DataFrame, budget: int) -> DataFrame:
+    """Links between ids of one ``key`` and different colours, for keys of many ids.
+
+    Under each key, every id that lacks the most common colour meets all ids.
+    Both sides are dealt into blocks, so a task compares a cell of about ``CELL``
+    by ``CELL`` fingerprints; a cell gives one link for two colours.
+    """
+    colours = rows.groupBy("key", "colour").agg(F.count(F.lit(1)).alias("c"))
+    main = colours.groupBy("key").agg(F.max(F.struct("c", "colour")).alias("top"), F.sum("c").alias("n"))
+    blocks = lambda n: F.ceil(n / CELL).cast("int")
+    sized = main.select("key", F.col("top.colour").alias("main"), blocks(F.col("n")).alias("all"), blocks(F.col("n") - F.col("top.c")).alias("few"))
+    dealt = rows.select("key", "id", "colour").join(sized, "key")
+    block = lambda of: F.pmod(F.xxhash64("key", "id"), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    left = dealt.where(F.col("colour") != F.col("main")).select("key", "id", "colour", F.lit(True).alias("left"), block("few").alias("i"), every("all").alias("j"))
+    right = dealt.select("key", "id", "colour", F.lit(False).alias("left"), block("all").alias("j"), every("few").alias("i"))
+    held = left.unionByName(right).join(nodes.select("id", "fp"), "id")
+    member = F.struct("id", "colour", "fp")
+    cells = held.groupBy("key", "i", "j").agg(
+        F.collect_list(F.when(F.col("left"), member)).alias("x"), F.collect_list(F.when(~F.col("left"), member)).alias("y")
+    )
+
+    def compare(batches):
+        for batch in batches:
+            found = [[], []]
+            for cell in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
+                if not all(cell):
+                    continue
+                x, y = (np.frombuffer(b"".join(m["fp"] for m in side), np.uint64).reshape(len(side), -1) for side in cell)
+                cx, cy = (np.array([m["colour"] for m in side]) for side in cell)
+                met = set()
+                for k in range(len(x)):
+                    near = np.bitwise_count(x[k] ^ y).sum(axis=1, dtype=np.int64) <= budget
+                    for at in np.flatnonzero(near & (cy != cx[k])):
+                        if (cx[k], cy[at]) not in met:
+                            met.add((cx[k], cy[at]))
+                            found[0].append(cell[0][k]["id"])
+                            found[1].append(cell[1][at]["id"])
+            yield pa.RecordBatch.from_arrays([pa.array(f, pa.binary()) for f in found], names=["a", "b"])
+
+    return cells.select("x", "y").mapInArrow(compare, "a binary, b binary")
+
+
+def _rarest(texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(key, id, colour): the rarest shingles of each text, as many as a similar text cannot lack altogether.
+
+    Two sets of this similarity share that portion of either. So if all shingles
+    are put in one order, they share one among the first n - ceil(similarity * n) + 1.
+    Any order is right; counts in ``2 ** COUNT_BITS`` slots make it one that
+    leaves out what many texts quote.
+    """
+    shift = np.uint64(64 - COUNT_BITS)
+
+    def slots(batches):
+        total = np.zeros(1 << COUNT_BITS, np.int64)
+        for batch in batches:
+            for t in as_bytes(batch.column(0)):
+                np.add.at(total, (np.unique(shingle_hashes(t, words)) >> shift).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        for start in range(0, len(at), 100_000):
+            part = at[start : start + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["slot", "n"])
+
+    counted = texts.select("text").mapInArrow(slots, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(1 << COUNT_BITS, np.int64)
+    often[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(often)
+
+    def make():
+        often = shared.value
+
+        def first(text):
+            own = np.unique(shingle_hashes(text, words))
+            order = np.lexsort((own, often[(own >> shift).astype(np.int64)]))
+            return own[order[: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1]].view(np.int64)
+
+        def work(column):
+            made = [first(t) for t in as_bytes(column)]
+            at = np.cumsum([0, *map(len, made)], dtype=np.int32)
+            return [pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(made) if made else np.zeros(0, np.int64)))]
+
+        return work
+
+    return apply_arrow(texts, ["text"], "keys array<bigint>", make, ["id", "colour"]).select(F.explode("keys").alias("key"), "id", "colour")
+
+
+def similar_links(nodes: DataFrame, texts: DataFrame, words: int, similarity: float, lanes: int = WIDE_LANES) -> DataFrame:
+    """Links (a, b) that join ids of similar wide fingerprints, directly or through others.
+
+    ``nodes`` has distinct ``fp``, its ``id``, ``text_key`` and ``chains``; ``texts``
+    the text of each ``text_key``. A budget this wide leaves no chain of bits that
+    must be equal, so candidates come from the sample ring: at similarity 0.8 two
+    sets have no three equal consecutive boxes of 32 once in 100,000 cases. Under
+    a chain of few, all are compared. Under a crowded one, each first meets one
+    leader, another for each chain. Where that does not join all of a crowd, its
+    texts are searched again by their rarest shingles, of which a similar pair
+    shares one for certain: pairs under those of few texts, blocks under others.
+    So a pair is compared, or joined by others, if it shares a chain at all.
+    """
+    budget = bit_budget(similarity, lanes)
+    keyed = nodes.select("id", F.explode("chains").alias("key"))
+    rank = F.struct(F.xxhash64("key", "id").alias("r"), F.col("id").alias("leader"))
+    leaders = keyed.groupBy("key").agg(F.min(rank).alias("top"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    met = stored(keyed.join(leaders.select("key", "top.leader", "n"), "key"), "ring")
+    crowds = met.where(F.col("n") > BUCKET)
+    led = crowds.where(F.col("id") != F.col("leader")).select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b"))
+    pairs = _all_pairs(met.where(F.col("n") <= BUCKET).select("key", "id")).unionByName(led).distinct()
+    links = stored(_near(pairs, nodes, budget, lanes), "ring-links")
+
+    roots = components(links).select(F.col("node").alias("id"), "root")
+    colour = F.xxhash64(F.coalesce("root", "id")).alias("colour")
+    apart = _unsettled(crowds.select("key", "id").join(roots, "id", "left").select("key", "id", colour))
+    apart = stored(apart.select("id", "colour").distinct(), "apart")
+    asked = apart.join(nodes.select("id", "text_key"), "id").join(texts.select("text_key", "text").dropDuplicates(["text_key"]), "text_key")
+    rare = stored(_unsettled(_rarest(stored(asked.select("id", "colour", "text"), "apart-texts"), words, similarity)), "rarest")
+    few = _all_pairs(rare.where(F.col("n") <= BUCKET).select("key", "id", "colour"), F.col("l.colour") != F.col("r.colour"))
+    cells = _cell_links(rare.where(F.col("n") > BUCKET), nodes, budget)
+    return links.unionByName(_near(few, nodes, budget, lanes)).unionByName(cells)
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of each group of near duplicates: the one with the smallest id, its own columns unchanged.
 
@@ -269,7 +388,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     rows = wide_fingerprints(own, "text", words, ["doc", "text_key"])
     first = F.struct(F.col("doc").isNull().alias("none"), "doc", "text_key", "chains")
     nodes = stored(rows.groupBy("fp").agg(F.min(first).alias("first")).withColumn("id", F.unhex(F.md5("fp"))), "wide-nodes")
-    links = similar_links(nodes.select("id", "fp", "first.chains"), similarity)
+    links = similar_links(nodes.select("id", "fp", "first.text_key", "first.chains"), own, words, similarity)
     roots = components(links).select(F.col("node").alias("id"), "root")
     chosen = (
         nodes.join(roots, "id", "left")

@@ -228,6 +228,32 @@ def test_keep_one_finds_pairs_near_the_threshold_among_shared_passages(spark):
     assert {2 * g for g in range(300)} <= left and len(left) <= 303
 
 
+def test_keep_one_finds_pairs_made_of_a_passage_that_many_quote(spark):
+    draw = random.Random(7)
+    some = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for g in range(3):
+        passage = some(204)
+        rows += [(g * 10_000 + k, " ".join(passage + some(20))) for k in range(2)]  # 200 of 240 shingles: similarity 0.83
+        rows += [(g * 10_000 + 10 + k, " ".join(some(75) + passage + some(75))) for k in range(3000)]
+    left = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i, _ in rows} - left == {g * 10_000 + 1 for g in range(3)}
+
+
+def test_keep_one_finds_pairs_among_many_of_one_form(spark):
+    draw = random.Random(8)
+    some = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for g in range(6):
+        form = some(324)
+        rows += [(g * 1000 + 10 + k, " ".join(form + some(76))) for k in range(400)]  # similarity 0.68 to each other
+        first = form + some(76)
+        rows += [(g * 1000, " ".join(first)), (g * 1000 + 1, " ".join(first[:-28] + some(28)))]  # 0.87
+    left = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    gone = {i for i, _ in rows} - left
+    assert {g * 1000 + 1 for g in range(6)} <= gone and len(gone) <= 0.03 * len(rows)  # the distance is an estimate
+
+
 # test items
 
 
