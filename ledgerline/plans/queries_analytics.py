@@ -315,8 +315,8 @@ def _monthly(w, models=CLOSED):
     return forecasting.forecast_monthly(forecasting.forecast(_series(w), FORECAST_END, models), best)
 
 
-def _outlook(w):
-    return forecasting.forecast_vs_plan(w.fact_plan, _monthly(w), w.actual_country_month)
+def _outlook(w, models=CLOSED):
+    return forecasting.forecast_vs_plan(w.fact_plan, _monthly(w, models), w.actual_country_month)
 
 
 FORECAST_PARTS = {
@@ -403,3 +403,19 @@ _forecast("N14_alt_errors", lambda w: forecasting.alt_errors(_backtest(w)),
                sqrt(AVG((predicted - actual) * (predicted - actual))) / AVG(actual) AS rmse_pct,
                quantile_cont(absolute_percentage_error, 0.5) AS median_ape FROM w_detail GROUP BY model""",
           rounded=["smape", "rmse_pct", "median_ape"])
+
+
+def _countries(w, monthly):
+    return forecasting.forecast_country_month(monthly, w.actual_country_month)
+
+
+# The whole set with Holt-Winters, which SQL cannot follow; the names without suffix choose between the closed forms.
+_ALL = forecasting.MODELS
+_forecast("N08_forecast_scenarios_all_models", lambda w: forecasting.forecast_scenarios(_monthly(w, _ALL), _series(w)))
+_forecast("N09_forecast_country_month_all_models", lambda w: _countries(w, _monthly(w, _ALL)))
+_forecast("N10_forecast_vs_plan_all_models", lambda w: _outlook(w, _ALL))
+_forecast("N11_horizon_decay_all_models", lambda w: forecasting.horizon_decay(_backtest(w, _ALL)))
+_forecast("N12_allocation_tie_all_models",
+          lambda w: forecasting.allocation_tie(_monthly(w, _ALL), _countries(w, _monthly(w, _ALL))))
+_forecast("N13_landing_achievement_all_models", lambda w: forecasting.landing_achievement(_outlook(w, _ALL)))
+_forecast("N14_alt_errors_all_models", lambda w: forecasting.alt_errors(_backtest(w, _ALL)))

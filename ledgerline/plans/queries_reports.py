@@ -255,6 +255,8 @@ _report("R07_scenario_totals", lambda w: reporting.scenario_totals(forecasting.f
         f"""SELECT scenario, {_money('forecast_net_sales_usd')} AS net_sales, {_money('forecast_net_profit_usd')} AS net_profit,
               MAX(assumed_margin_rate) AS assumed_margin, MAX(volume_multiplier) AS volume_multiplier, MAX(narrative) AS assumption FROM w_scenarios GROUP BY 1""",
         rounded=["net_sales", "net_profit", "assumed_margin"], digits=3)
+_report("R07_scenario_totals_all_models",
+        lambda w: reporting.scenario_totals(forecasting.forecast_scenarios(_monthly(w, forecasting.MODELS), _series(w))))
 _report("R08_validation_listing", lambda w: reporting.gate_listing(w.plan_validation), "SELECT * EXCLUDE failure_rate FROM w_commercial_gate")
 _report("R08_statement_listing", lambda w: reporting.statement_listing(w.reconciliation_statement),
         f"SELECT * EXCLUDE value_delta FROM ({STATEMENT_SQL})")

@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerline.operators import associations, concentration, experiments, forecasting, profiling, propensity, ranking, segmentation
+from ledgerline.plans import catalog, queries_analytics
 
 LIGHT = settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -248,3 +249,17 @@ def test_propensity(warehouse):
     names = [r.feature for r in model.coefficients(test).collect()]
     assert "sale_price_scaled" in names and len(names) == len(set(names))
     assert not any(n.startswith("feature_") for n in names)
+
+
+def test_horizon_errors_of_all_models_match_brute_force(spark, monkeypatch):
+    df, months = series(spark, [100 + 10 * (i % 12) + i for i in range(28)])
+    monkeypatch.setattr(queries_analytics, "_series", lambda w: df)
+    monkeypatch.setattr(queries_analytics, "FORECAST_END", later(months[-1], 2))
+    queries = catalog.all_queries()
+    detail = queries["N05_backtest_all_models"].build(None).collect()
+    made = {r.step: r.asDict() for r in queries["N11_horizon_decay_all_models"].build(None).collect()}
+    assert made and set(made) == {r.step for r in detail}
+    for step, row in made.items():
+        for m in forecasting.MODELS:
+            apes = [abs(r.predicted - r.actual) / r.actual for r in detail if (r.step, r.model) == (step, m)]
+            assert row[f"{m}_pct"] == pytest.approx(100 * sum(apes) / len(apes), abs=0.051)
