@@ -81,7 +81,7 @@ def _best(data: DataFrame, k: int, restarts: int, seed: int) -> KMeansModel:
         return min(pool.map(fit, range(restarts)), key=lambda m: m.summary.trainingCost)
 
 
-def rfm_k_diagnostics(features: DataFrame, ks: Sequence[int] = (3, 4, 5, 6), restarts: int = 2, seed: int = 42) -> DataFrame:
+def rfm_k_diagnostics(features: DataFrame, ks: Sequence[int] = (3, 4, 5, 6), restarts: int = 20, seed: int = 42) -> DataFrame:
     """Inertia and silhouette (squared Euclidean) per number of clusters, over all customers."""
     rows = []
     with kept(_vectors(features).select("features")) as data:
@@ -138,7 +138,7 @@ def nearest_centre(features: DataFrame, centres: Sequence[Sequence[float]]) -> D
     )
 
 
-def rfm_segment(features: DataFrame, k: int = 3, restarts: int = 2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def rfm_segment(features: DataFrame, k: int = 3, restarts: int = 30, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Customers with their segment, and the profile of the segments."""
     data = _vectors(features)
     with kept(data.select("features")) as training:
@@ -149,7 +149,7 @@ def rfm_segment(features: DataFrame, k: int = 3, restarts: int = 2, seed: int =
     return assigned.join(labels, "cluster_id"), profile
 
 
-def rfm_variant(features: DataFrame, k: int = 3, ks: Sequence[int] = (2, 3, 4, 5, 6, 7, 8), restarts: int = 2, seed: int = 42):
+def rfm_variant(features: DataFrame, k: int = 3, ks: Sequence[int] = (2, 3, 4, 5, 6, 7, 8), restarts: int = 20, seed: int = 42):
     """Standard scale, rank-sum naming with inverted recency, and the snake profile.
 
     Returns (segmented customers, snake profile, diagnostics over ``ks``).

@@ -263,3 +263,20 @@ def test_horizon_errors_of_all_models_match_brute_force(spark, monkeypatch):
         for m in forecasting.MODELS:
             apes = [abs(r.predicted - r.actual) / r.actual for r in detail if (r.step, r.model) == (step, m)]
             assert row[f"{m}_pct"] == pytest.approx(100 * sum(apes) / len(apes), abs=0.051)
+
+
+def test_segments_take_as_many_starts_as_the_reference(monkeypatch, spark):
+    class Asked(Exception):
+        pass
+
+    def best(data, k, restarts, seed):
+        raise Asked(restarts)
+
+    monkeypatch.setattr(segmentation, "_best", best)
+    rows = [(i, float(i), i + 1, 10.0 * i + 1, 0.0, *[float(i)] * 6) for i in range(5)]
+    names = ["customer_id", *segmentation.RAW.values(), "observed_return_rate", *segmentation.AXES, *[f"{a}_scaled" for a in segmentation.AXES]]
+    feats = spark.createDataFrame(rows, names)
+    for run, starts in ((segmentation.rfm_k_diagnostics, 20), (segmentation.rfm_segment, 30), (segmentation.rfm_variant, 20)):
+        with pytest.raises(Asked) as asked:
+            run(feats)
+        assert asked.value.args == (starts,)
