@@ -13,6 +13,7 @@ from . import (
     decontaminate,
     license_scan,
     line_dedup,
+    ngram_join,
     prefix_trie,
     quality,
     runs,
@@ -124,6 +125,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(documents(spark, sf_dir))
+
+
 def with_common_openings(turns: DataFrame) -> DataFrame:
     """Digested turns, numbered from 1: each conversation opens with turns of the first of its twenty, then goes on with its own."""
     rows = prefix_trie.numbered(prefix_trie.digest_turns(turns), "conv_id", ["turn", "s1", "s2"]).drop("p1", "p2", "turn")
@@ -166,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_counts,
         op10_token_files,
         op11_periodic_runs,
+        op12_ngram_jaccard_join,
         op13_prefix_trie,
         pipeline,
     )
