@@ -34,11 +34,12 @@ COUNTED = int(0.375 * 2**64)
 OFTEN, MOST_OFTEN = 32, 1 << 20
 # Up to so many classes under one n-gram are compared pair by pair; of more, two blocks of CELL in one task.
 BUCKET, CELL = 8, 64
-LEADER_ROUNDS = 2
+PROBES, BEST_ROUNDS = 8, 2
 # Counters that bound the overlap of two sets from above.
-COUNTERS = 128
+COUNTERS = 512
 # Slots of the filter for the rows whose sets are fetched.
 SLOTS = 1 << 26
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -61,6 +62,11 @@ class Order:
         place = self.places(grams)
         return np.concatenate((grams[place < 0], grams[place >= 0][np.argsort(place[place >= 0])]))[:size]
 
+    def often_share(self, grams: np.ndarray) -> int:
+        """Of those n-grams that are counted at all, how many sixty-fourths are frequent."""
+        low = self.places(grams[: np.searchsorted(grams, np.uint64(COUNTED))])
+        return int(64 * (low >= 0).sum()) // max(len(low), 1)
+
     def fragments(self, grams: np.ndarray) -> np.ndarray:
         """Fragment of each: rare ones by equal ranges of the hash, frequent ones by equal numbers of occurrences."""
         rare = FRAGMENTS - HOT_FRAGMENTS
@@ -68,15 +74,28 @@ class Order:
         return np.where(place < 0, ((grams >> np.uint64(32)) * np.uint64(rare) >> np.uint64(32)).astype(np.int64), rare + np.searchsorted(self.cuts, place, "right"))
 
 
-def gram_set(text: bytes, words: int) -> np.ndarray:
-    """XXH64 of the distinct n-grams, sorted; of the whole sequence if it is shorter; none without words."""
+class WordHashes(dict):
+    """XXH64 of words, kept for the next text; forgotten when too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1 << 20:
+            self.clear()
+        self[word] = value = xxhash.xxh64_intdigest(word, 42)
+        return value
+
+
+def gram_set(text: bytes, words: int, known: WordHashes) -> np.ndarray:
+    """64-bit hashes of the distinct n-grams, sorted; of the whole sequence if it is shorter; none without words."""
     split = text.lower().split()
-    if len(split) > words:
-        joined = set(map(b" ".join, zip(*(split[i:] for i in range(words)))))
-    else:
-        joined = {b" ".join(split)} if split else ()
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(s, 42) for s in joined), np.uint64, len(joined)))
+    if not split:
+        return np.zeros(0, np.uint64)
+    each = np.fromiter(map(known.__getitem__, split), np.uint64, len(split))
+    size = min(words, len(split))
+    total = np.full(len(split) - size + 1, size, np.uint64)
+    for k in range(size):
+        total = (total ^ each[k : k + len(total)]) * _MIX
+        total ^= total >> np.uint64(31)
+    return np.unique(total)
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -90,19 +109,23 @@ def _counters(grams: np.ndarray) -> bytes:
     return (counts if counts.max() < 255 else np.full(COUNTERS, 255)).astype(np.uint8).tobytes()
 
 
-def may_reach(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, percent: int) -> np.ndarray:
-    """Whether pairs of counters (rows of uint8) leave room for the overlap that the similarity asks for."""
+def room(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, percent: int) -> np.ndarray:
+    """How far the overlap that pairs of counters (rows of uint8) allow lies above the least that is asked; below 0: too small.
+
+    In hundredths and ``percent`` parts: 100 + percent times the overlap, less percent times both sizes.
+    """
     most = np.minimum(x, y).sum(axis=-1, dtype=np.int64)
-    open_ = (x.max(axis=-1) == 255) | (y.max(axis=-1) == 255)
-    return open_ | ((100 + percent) * most >= percent * (nx + ny))
+    unbound = (x.max(axis=-1, initial=0) == 255) | (y.max(axis=-1, initial=0) == 255)
+    return np.where(unbound, 0, (100 + percent) * most - percent * (nx + ny))
 
 
 def gram_order(docs: DataFrame, text: str, words: int) -> Order:
     """The global order: n-grams by hash, but those of many texts last, by how many."""
 
     def count(batches):
+        known = WordHashes()
         for batch in batches:
-            sets = [gram_set(t, words) for t in as_bytes(batch.column(0))]
+            sets = [gram_set(t, words, known) for t in as_bytes(batch.column(0))]
             low = [s[: np.searchsorted(s, np.uint64(COUNTED))] for s in sets]
             grams, n = np.unique(np.concatenate(low) if low else np.zeros(0, np.uint64), return_counts=True)
             for k in range(0, len(grams), 50_000):
@@ -154,16 +177,16 @@ def segments(docs: DataFrame, text: str, words: int, wanted: DataFrame, order) -
     seen = spark.sparkContext.broadcast(_slots(wanted))
 
     def make(batches):
-        bits, known = np.frombuffer(seen.value, np.uint32), order.value
+        bits, cut, known = np.frombuffer(seen.value, np.uint32), order.value, WordHashes()
         for batch in batches:
             slot = batch.column(1).to_numpy(zero_copy_only=False) % SLOTS
             asked = (bits[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1
             ids, fragments, grams, sizes = [], [], [], 0
             for t in as_bytes(batch.column(0).filter(pa.array(asked.astype(bool)))):
-                own = gram_set(t, words)
+                own = gram_set(t, words, known)
                 if not len(own):
                     continue
-                part = known.fragments(own)
+                part = cut.fragments(own)
                 for f in np.unique(part).tolist():
                     ids.append(set_id(own))
                     fragments.append(f)
@@ -211,7 +234,7 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, fetch: Callable[[DataFrame]
     def make():
         def work(x, y, nx, ny):
             x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, COUNTERS) for v in (x, y))
-            return [pa.array(may_reach(x, y, nx.to_numpy(), ny.to_numpy(), percent), pa.bool_())]
+            return [pa.array(room(x, y, nx.to_numpy(), ny.to_numpy(), percent) >= 0, pa.bool_())]
 
         return work
 
@@ -249,13 +272,32 @@ def _unsettled(met: DataFrame, links: DataFrame) -> DataFrame:
     return stored(painted.join(mixed, "gram"), "unsettled")
 
 
-def _leader_pairs(met: DataFrame, salt: int) -> DataFrame:
-    """Every id with one of those under the same n-gram; by its own hash, so that n-grams that come together agree on it."""
-    top = met.groupBy("gram").agg(F.min_by("id", F.xxhash64("id", F.lit(salt))).alias("leader"))
+def _probe_pairs(met: DataFrame) -> DataFrame:
+    """Every id with one of those under the same n-gram whose sets consist most of frequent n-grams.
+
+    Where many texts vary one, these are the nearest to it. Which of them, depends
+    on the n-gram, so a text meets a few.
+    """
+    rank = F.shiftleft(F.col("often"), 50) + F.shiftrightunsigned(F.xxhash64("id", F.pmod("gram", F.lit(PROBES))), 14)
+    top = met.groupBy("gram").agg(F.max_by("id", rank).alias("leader"))
     led = met.join(top, "gram").where(F.col("id") != F.col("leader"))
     return led.select(*_in_order(F.col("id"), F.col("leader"))).distinct()
 
 
+def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """Those of the pairs whose ids are of different components."""
+    roots = components(links)
+    side = lambda key, root: roots.select(F.col("node").alias(key), F.col("root").alias(root))
+    placed = pairs.join(side("a", "ra"), "a", "left").join(side("b", "rb"), "b", "left")
+    return placed.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", "room")
+
+
+def _best_pairs(pairs: DataFrame) -> DataFrame:
+    """For every id the pair with most room for overlap."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"), "a", "b", "room")
+    return ends.groupBy("id").agg(F.max_by("a", "room").alias("a"), F.max_by("b", "room").alias("b")).select("a", "b").distinct()
+
+
 def _main_colours(rows: DataFrame) -> DataFrame:
     """(gram, main): the component that most of the ids under the n-gram are of."""
     colours = rows.groupBy("gram", "colour").agg(F.count(F.lit(1)).alias("c"))
@@ -263,7 +305,7 @@ def _main_colours(rows: DataFrame) -> DataFrame:
 
 
 def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of ids of different components under n-grams of many that the counters cannot tell apart.
+    """Pairs (a, b, room) of ids of different components under n-grams of many that the counters cannot tell apart.
 
     Under each n-gram every id that is not of the main component meets all ids.
     Both sides are dealt into blocks, so a task compares two blocks of about
@@ -282,7 +324,7 @@ def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def compare(batches):
         for batch in batches:
-            found = [np.zeros((2, 0), np.int64)]
+            found = [np.zeros((3, 0), np.int64)]
             for x, y in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
                 if not x or not y:
                     continue
@@ -296,65 +338,70 @@ def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 fits = (cx[:, None] != cy[None, :]) & ((100 + percent) * rest >= percent * both)
                 fits &= 100 * np.minimum(nx[:, None], ny[None, :]) >= percent * np.maximum(nx[:, None], ny[None, :])
                 i, j = np.nonzero(fits)
-                near = may_reach(bx[i], by[j], nx[i], ny[j], percent)
-                i, j = i[near], j[near]
-                found.append(np.stack((np.maximum(ix[i], iy[j]), np.minimum(ix[i], iy[j]))))
-            a, b = np.concatenate(found, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                left = room(bx[i], by[j], nx[i], ny[j], percent)
+                i, j, left = i[left >= 0], j[left >= 0], left[left >= 0]
+                found.append(np.stack((np.maximum(ix[i], iy[j]), np.minimum(ix[i], iy[j]), left)))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found, axis=1)], names=["a", "b", "room"])
 
-    return cells.select("x", "y").mapInArrow(compare, "a bigint, b bigint").distinct()
+    return cells.select("x", "y").mapInArrow(compare, "a bigint, b bigint, room bigint").distinct()
 
 
 def similarity_links(met: DataFrame, sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Links (a, b) that join all ids of similar sets, directly or through others.
 
-    ``met`` has (gram, id, n, pos): the first n-grams of each set that others have
-    there too, and ``many``, whether more than ``BUCKET`` have. Crowded n-grams
-    take leader rounds, then blocks; the work in blocks grows with the ids outside an n-gram's main
-    component times all of its ids.
+    ``met`` has (gram, id, n, pos, often): the first n-grams of each set that others
+    have there too, and ``many``, whether more than ``BUCKET`` have. Under crowded
+    n-grams all meet a few probes. As far as this does not link them, they meet all
+    others in blocks, where counters alone are compared; that work grows with the
+    ids outside an n-gram's main component times all of its ids. Of the pairs that
+    are left, each id's most likely one is tried first.
     """
     crowds = met.where("many")
-    first = _few_pairs(met.where("NOT many"), percent).unionByName(_leader_pairs(crowds, 0)).distinct()
+    first = _few_pairs(met.where("NOT many"), percent).unionByName(_probe_pairs(crowds)).distinct()
     links = stored(similar_pairs(first, sets, fetch, percent), "links")
-    for salt in range(1, LEADER_ROUNDS):
-        apart = _unsettled(crowds, links)
-        if not apart.limit(1).count():
-            return links
-        others = apart.join(_main_colours(apart).select("gram", "main"), "gram").where(F.col("colour") != F.col("main"))
-        links = stored(links.unionByName(similar_pairs(_leader_pairs(others, salt), sets, fetch, percent)), "links")
     apart = _unsettled(crowds, links)
     if not apart.limit(1).count():
         return links
-    return stored(links.unionByName(similar_pairs(_block_pairs(apart, sets, percent), sets, fetch, percent)), "links")
+    pairs = stored(_block_pairs(apart, sets, percent), "block-pairs")
+    for last in [False] * BEST_ROUNDS + [True]:
+        left = stored(_apart(pairs, links), "apart-pairs")
+        if not left.limit(1).count():
+            break
+        links = stored(links.unionByName(similar_pairs(left if last else _best_pairs(left), sets, fetch, percent)), "links")
+    return links
 
 
 def first_grams(rows: DataFrame) -> DataFrame:
-    """(gram, id, n, pos, many) for every set's first n-grams that other sets have among theirs."""
-    each = rows.select("id", "n", F.posexplode("first").alias("pos", "gram")).distinct()
+    """(gram, id, n, pos, often, many) for every set's first n-grams that other sets have among theirs."""
+    each = rows.select("id", "n", "often", F.posexplode("first").alias("pos", "gram")).distinct()
     counts = each.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1)
-    return stored(each.join(counts, "gram").select("gram", "id", "n", "pos", (F.col("k") > BUCKET).alias("many")), "met")
+    return stored(each.join(counts, "gram").select("gram", "id", "n", "pos", "often", (F.col("k") > BUCKET).alias("many")), "met")
 
 
 def gram_sets(docs: DataFrame, text: str, words: int, percent: int, order, keep: Sequence[str]) -> DataFrame:
-    """Add ``id``, ``n``, ``first`` and ``counters`` of the text's set; a text without words has n 0 and no first n-grams."""
+    """Add the text's set as ``id``, ``n``, ``often`` (sixty-fourths that are frequent), ``first`` and ``counters``.
+
+    A text without words has n 0 and no first n-grams.
+    """
 
     def make():
-        known = order.value
+        ranks, known = order.value, WordHashes()
 
         def work(texts):
-            sets = [gram_set(t, words) for t in as_bytes(texts)]
-            first = [known.first(s, prefix_size(len(s), percent)).view(np.int64) for s in sets]
+            sets = [gram_set(t, words, known) for t in as_bytes(texts)]
+            first = [ranks.first(s, prefix_size(len(s), percent)).view(np.int64) for s in sets]
             at = pa.array(np.cumsum([0, *map(len, first)], dtype=np.int32))
             return [
                 pa.array([set_id(s) for s in sets], pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([ranks.often_share(s) for s in sets], pa.int64()),
                 pa.ListArray.from_arrays(at, pa.array(np.concatenate(first) if first else np.zeros(0, np.int64))),
                 pa.array([_counters(s) for s in sets], pa.binary()),
             ]
 
         return work
 
-    return apply_arrow(docs, [text], "id bigint, n bigint, first array<bigint>, counters binary", make, keep)
+    return apply_arrow(docs, [text], "id bigint, n bigint, often bigint, first array<bigint>, counters binary", make, keep)
 
 
 def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
