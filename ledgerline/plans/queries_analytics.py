@@ -59,6 +59,39 @@ def _at_centres(w):
     return segmentation.nearest_centre(segmentation.rfm_features(w.customer_360), CENTRES)
 
 
+_SAMPLED = 300  # fewer than all even in small tables, so that the draw counts
+register(
+    "L02_silhouette_stored_centres",
+    lambda w: segmentation.silhouette(segmentation.rfm_features(w.customer_360), {len(CENTRES): CENTRES}, _SAMPLED),
+    f"""
+    WITH n AS ({_nearest}), s AS (SELECT * FROM n ORDER BY customer_id % 2147483647 * 48271 % 2147483647, customer_id LIMIT {_SAMPLED}),
+      d AS (SELECT x.customer_id, x.cluster_id AS mine, y.cluster_id AS theirs, SUM(sqrt({" + ".join(f"(x.{a}_scaled - y.{a}_scaled) ** 2" for a in segmentation.AXES)})) AS far,
+          COUNT(*) AS c FROM s x, s y GROUP BY 1, 2, 3),
+      ab AS (SELECT customer_id, MAX(CASE WHEN mine = theirs THEN CASE WHEN c > 1 THEN far / (c - 1) END END) AS a,
+          MIN(CASE WHEN mine <> theirs THEN far / c END) AS b FROM d GROUP BY 1)
+    SELECT {len(CENTRES)} AS k, AVG(coalesce((b - a) / CASE WHEN greatest(a, b) > 0 THEN greatest(a, b) END, 0)) AS silhouette FROM ab""",
+    rounded=["silhouette"],
+)
+register(
+    "L04_snake_stored_centres",
+    lambda w: segmentation.snake_profile(
+        segmentation.nearest_centre(segmentation.standard_scale(segmentation.rfm_features(w.customer_360)), CENTRES)
+    ),
+    f"""
+    WITH f AS ({_features}),
+      m AS (SELECT {", ".join(f"AVG({a}) AS m_{a}, stddev_pop({a}) AS s_{a}" for a in segmentation.AXES)} FROM f),
+      g AS (SELECT f.* EXCLUDE ({", ".join(f"{a}_scaled" for a in segmentation.AXES)}),
+          {", ".join(f"({a} - m_{a}) / CASE WHEN s_{a} > 0 THEN s_{a} ELSE 1 END AS {a}_scaled" for a in segmentation.AXES)} FROM f, m),
+      n AS (SELECT g.*, (SELECT arg_min(i, x) FROM (VALUES {_far}) d(i, x)) AS cluster_id FROM g),
+      p AS (SELECT cluster_id, COUNT(*) AS customers, {", ".join(f"AVG({c}::DOUBLE) AS mean_{c}" for c in segmentation.RAW.values())},
+          {", ".join(f"AVG({a}_scaled) AS scaled_{a}" for a in segmentation.AXES)} FROM n GROUP BY 1),
+      r AS (SELECT *, {", ".join(f"rank() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS r{i}"
+                                 for i, c in enumerate(("mean_recency_days", "mean_order_count", "mean_net_sales_value")))} FROM p),
+      q AS (SELECT * EXCLUDE (r0, r1, r2), (MAX(r0) OVER ()) - r0 + 1 + r1 + r2 AS quality FROM r)
+    SELECT *, CASE row_number() OVER (ORDER BY quality DESC, cluster_id)
+      {" ".join(f"WHEN {i + 1} THEN '{name}'" for i, name in enumerate(segmentation.SEGMENTS))} END AS segment FROM q""",
+    rounded=["mean_recency_days", "mean_order_count", "mean_net_sales_value", *[f"scaled_{a}" for a in segmentation.AXES], "quality"],
+)
 register(
     "L03_rfm_segment_stored_centres",
     lambda w: _at_centres(w).select("customer_id", "cluster_id", "distance"),

@@ -7,9 +7,10 @@ import os
 import re
 import shutil
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
@@ -77,3 +78,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
+
+
+def shared_table(df: DataFrame, label: str) -> DataFrame:
+    """Write once to the shared folder and go on from the files: what reads it again does not compute it again."""
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/tables/{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

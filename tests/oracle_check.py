@@ -48,7 +48,8 @@ def rows_of(names, rows, digits):
 def compare(spark_df, con, sql):
     """Returns (status, detail); status is EXACT, CLOSE (equal to 9 digits) or DIFF."""
     srows = [tuple(r) for r in spark_df.collect()]
-    cur = con.execute(sql)
+    con.execute(f"CREATE OR REPLACE TEMP VIEW checked AS {sql}")  # as a view, so that SQL which cannot stand in one shows
+    cur = con.execute("SELECT * FROM checked")
     dnames = [d[0] for d in cur.description]
     drows = cur.fetchall()
     if sorted(spark_df.columns) != sorted(dnames):

@@ -265,18 +265,46 @@ def test_horizon_errors_of_all_models_match_brute_force(spark, monkeypatch):
             assert row[f"{m}_pct"] == pytest.approx(100 * sum(apes) / len(apes), abs=0.051)
 
 
-def test_segments_take_as_many_starts_as_the_reference(monkeypatch, spark):
-    class Asked(Exception):
-        pass
-
-    def best(data, k, restarts, seed):
-        raise Asked(restarts)
-
-    monkeypatch.setattr(segmentation, "_best", best)
-    rows = [(i, float(i), i + 1, 10.0 * i + 1, 0.0, *[float(i)] * 6) for i in range(5)]
-    names = ["customer_id", *segmentation.RAW.values(), "observed_return_rate", *segmentation.AXES, *[f"{a}_scaled" for a in segmentation.AXES]]
-    feats = spark.createDataFrame(rows, names)
-    for run, starts in ((segmentation.rfm_k_diagnostics, 20), (segmentation.rfm_segment, 30), (segmentation.rfm_variant, 20)):
-        with pytest.raises(Asked) as asked:
-            run(feats)
-        assert asked.value.args == (starts,)
+def test_all_starts_in_one_pass_match_single_fits(spark, warehouse):
+    feats = segmentation.rfm_features(warehouse.customer_360)
+    assert [r.k for r in segmentation.rfm_k_diagnostics(feats, ks=(3, 6)).orderBy("k").collect()] == [3, 6]  # the real 20 starts
+    table = np.array([tuple(r) for r in feats.select(*segmentation.SCALED).collect()])
+    best = segmentation.best_centres(feats, [3, 6], 20, 42)
+    sample = np.array([tuple(r) for r in segmentation.drawn(feats, segmentation.START_SAMPLE).select(*segmentation.SCALED).collect()])
+    for k, (centres, cost) in best.items():
+        costs = []
+        for i in range(20):  # the same starts, one after the other
+            c = segmentation._starts(sample, k, 42 + 1000 * k + i)
+            while True:
+                near = ((table[:, None] - c[None]) ** 2).sum(2).argmin(1)
+                new = np.array([table[near == j].mean(0) if (near == j).any() else c[j] for j in range(k)])
+                done, c = np.abs(new - c).max() <= segmentation.STILL, new
+                if done:
+                    break
+            costs.append(((table[:, None] - c[None]) ** 2).sum(2).min(1).sum())
+        assert cost == pytest.approx(min(costs), rel=1e-9)
+        assert cost == pytest.approx(((table[:, None] - centres[None]) ** 2).sum(2).min(1).sum(), rel=1e-9)
+
+
+@pytest.mark.parametrize("squared", [False, True])
+def test_silhouette_matches_definition(spark, squared):
+    rng = np.random.default_rng(3)
+    x = np.concatenate((rng.normal(0, 1, (300, 3)), rng.normal(3, 1, (250, 3)), [[50.0, 50, 50]]))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], ["customer_id", *segmentation.SCALED])
+    centres = {2: [[0, 0, 0], [3, 3, 3]], 3: [[0, 0, 0], [3, 3, 3], [50, 50, 50]]}
+    far = ((x[:, None] - x[None]) ** 2).sum(2) ** (1.0 if squared else 0.5)
+    for r in segmentation.silhouette(df, centres, squared=squared).collect():
+        label = ((x[:, None] - np.array(centres[r.k], float)[None]) ** 2).sum(2).argmin(1)
+        scores = []
+        for i in range(len(x)):
+            means = [far[i, label == c].sum() / max((label == c).sum() - (c == label[i]), 1) for c in range(r.k)]
+            a, b = means[label[i]], min(m for c, m in enumerate(means) if c != label[i])
+            scores.append((b - a) / max(a, b) if (label == label[i]).sum() > 1 else 0.0)
+        assert r.silhouette == pytest.approx(np.mean(scores), rel=1e-9)
+
+
+def test_default_numbers_of_starts():
+    import inspect
+
+    asked = {f: inspect.signature(getattr(segmentation, f)).parameters["restarts"].default for f in ("rfm_k_diagnostics", "rfm_segment", "rfm_variant")}
+    assert asked == {"rfm_k_diagnostics": 20, "rfm_segment": 30, "rfm_variant": 20}
