@@ -30,6 +30,16 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def packed(df: DataFrame, **needed: str) -> DataFrame:
+    """The caller's columns in one struct ``row``, out of the way of the operator's own names, and the needed ones beside it."""
+    return df.select(F.struct(*[named(c) for c in df.columns]).alias("row"), *[named(c).alias(n) for n, c in needed.items()])
+
+
+def unpacked(columns: Sequence[str], **replaced: Column) -> list[Column]:
+    """The caller's columns out of ``row``, some of them replaced."""
+    return [(replaced[c] if c in replaced else F.col("row").getField(c)).alias(c) for c in columns]
+
+
 def lower_az(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 

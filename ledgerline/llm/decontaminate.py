@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_TABLE, apply_arrow, as_bytes, named, stored
+from .common import apply_arrow, as_bytes, named, packed, stored, unpacked, WORD_TABLE
 
 WINDOW = 10
 # Windows held by one broadcast set; more of them are scanned set after set.
@@ -175,17 +175,17 @@ def decontaminate(
     A document in which more than ``max_share`` of the words are hit goes; from
     the others the hit spans are cut out of the text.
     """
-    found = find_overlap(docs, benchmark, text, window=window)
+    found = find_overlap(packed(docs, text=text), benchmark, "text", window=window, keep=["row", "text"])
     clean = found.where(F.col("n_hit") <= max_share * F.col("n_words"))
-    if max_share > 0:
+    if max_share <= 0:
+        return clean.select(*unpacked(docs.columns))
 
-        def make():
-            def work(texts, spans):
-                pairs = zip(texts.to_pylist(), spans.to_pylist())
-                cut = [cut_spans(t, [(s["first"], s["last"]) for s in x]) if x else t for t, x in pairs]
-                return [pa.array(cut, pa.string())]
+    def make():
+        def work(texts, spans):
+            pairs = zip(texts.to_pylist(), spans.to_pylist())
+            cut = [cut_spans(t, [(s["first"], s["last"]) for s in x]) if x else t for t, x in pairs]
+            return [pa.array(cut, pa.string())]
 
-            return work
+        return work
 
-        clean = apply_arrow(clean, [text, "spans"], "_cut string", make).withColumn(text, F.col("_cut"))
-    return clean.select(*[named(c) for c in docs.columns])
+    return apply_arrow(clean, ["text", "spans"], "cut string", make, ["row"]).select(*unpacked(docs.columns, **{text: F.col("cut")}))

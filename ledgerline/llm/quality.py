@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import apply_arrow, as_bytes, named
+from .common import apply_arrow, as_bytes, named, packed, unpacked
 
 BLANKS = b" \t\n\x0b\x0c\r"
 _TAILS = bytes(range(0x80, 0xC0))
@@ -183,7 +183,5 @@ def judge(
 
 def drop_low_quality(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = BASE_RULES + RULES) -> DataFrame:
     """The rows that no rule rejects, with their own columns."""
-    own = [c for c in docs.columns if c.lower() not in ("base_failed", "kept")]
-    verdict = judge(docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c not in own}), text, rules)
-    back = {f"_own_{c}": c for c in docs.columns if c not in own}
-    return verdict.where("kept").drop("kept", "base_failed").withColumnsRenamed(back).select(*[named(c) for c in docs.columns])
+    verdict = judge(packed(docs, text=text), "text", rules, keep=["row"])
+    return verdict.where("kept").select(*unpacked(docs.columns))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import named, ordered_parts, stored
+from .common import ordered_parts, packed, stored, unpacked
 
 
 def assign_shards(rows: DataFrame, shards: int, order: str = "doc_id", size: str = "size", parts: int | None = None) -> DataFrame:
@@ -26,11 +26,11 @@ def assign_shards(rows: DataFrame, shards: int, order: str = "doc_id", size: str
     are needed, not whole texts.
     """
     kept = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
-    ranged = stored(ordered_parts(rows.select(*[named(c) for c in kept]), [order], parts), "ranged")
+    ranged = stored(ordered_parts(packed(rows, order=order, size=size), ["order"], parts), "ranged")
     every = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         ranged.groupBy("_part")
-        .agg(F.sum(named(size)).alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
+        .agg(F.sum("size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
         .select(
             "_part",
             F.coalesce(F.sum("_bytes").over(every), F.lit(0)).alias("_bytes_before"),
@@ -38,16 +38,16 @@ def assign_shards(rows: DataFrame, shards: int, order: str = "doc_id", size: str
             F.sum("_bytes").over(W.partitionBy(F.lit(0))).alias("_total"),
         )
     )
-    inside = W.partitionBy("_part").orderBy(named(order).asc_nulls_first(), "_arrival")
+    inside = W.partitionBy("_part").orderBy(F.col("order").asc_nulls_first(), "_arrival")
     up_to = inside.rowsBetween(W.unboundedPreceding, 0)
     placed = (
         ranged.join(F.broadcast(starts), "_part")
-        .withColumn("_end", F.col("_bytes_before") + F.sum(named(size)).over(up_to))
+        .withColumn("_end", F.col("_bytes_before") + F.sum("size").over(up_to))
         .withColumn("_row", F.col("_rows_before") + F.row_number().over(inside) - 1)
-        .withColumn("_middle", 2 * F.col("_end") - named(size))
+        .withColumn("_middle", 2 * F.col("_end") - F.col("size"))
         .withColumn("shard", F.expr(f"cast((cast(_middle as decimal(38,0)) * {int(shards)}) div (2 * _total) as int)"))
     )
     firsts = placed.groupBy("shard").agg(F.min("_row").alias("_first"))
     return placed.join(F.broadcast(firsts), "shard").select(
-        *[named(c) for c in kept], "shard", (F.col("_row") - F.col("_first")).cast("long").alias("slot")
+        *unpacked(kept), "shard", (F.col("_row") - F.col("_first")).cast("long").alias("slot")
     )

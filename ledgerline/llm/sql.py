@@ -90,15 +90,11 @@ WITH lines AS (
 ), spread AS (
   SELECT line FROM trimmed WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= {min_sites}
 ), marked AS (
-  SELECT t.*, s.line IS NOT NULL AS hit, CASE WHEN t.line = '' THEN 0 ELSE length(t.line) END AS size
-  FROM trimmed t LEFT JOIN spread s ON t.line = s.line
-), judged AS (
-  SELECT *, sum(CASE WHEN hit THEN size ELSE 0 END) OVER (PARTITION BY doc_id) * 2 > sum(size) OVER (PARTITION BY doc_id) AS whole
-  FROM marked
+  SELECT t.*, s.line IS NOT NULL AS hit FROM trimmed t LEFT JOIN spread s ON t.line = s.line
 ), done AS (
-  SELECT doc_id, string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE whole OR NOT hit) AS text,
-         count(*) AS n_lines, count(*) FILTER (WHERE hit AND NOT whole) AS n_removed
-  FROM judged GROUP BY doc_id
+  SELECT doc_id, string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT hit) AS text,
+         count(*) AS n_lines, count(*) FILTER (WHERE hit) AS n_removed
+  FROM marked GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
        CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(done.text, '') END AS text

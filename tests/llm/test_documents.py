@@ -114,6 +114,18 @@ def test_lines_against_sql_and_edges(spark, nothing):
     assert line_dedup.drop_spread_lines(nothing).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, line_dedup.MOST_SENT])
+def test_every_boilerplate_line_goes(spark, monkeypatch, most):
+    monkeypatch.setattr(line_dedup, "MOST_SENT", most)
+    names = "doc_id long, text string, source string, _key string, row int, drop string, h1 string"
+    rows = [(i, f"own line {i}\nthis is the very long footer that all share\n  and another shared line of text\t", f"site{i}", "k", 7, "d", "h") for i in range(12)]
+    rows += [(50, "and another shared line of text", "site1", "k", 7, "d", "h"), (51, None, None, None, None, None, None), (52, "", "s", "k", 1, "d", "h")]
+    made = {r.doc_id: r for r in line_dedup.drop_spread_lines(spark.createDataFrame([*rows, rows[3]], names)).collect()}
+    assert [made[i].text for i in range(12)] == [f"own line {i}" for i in range(12)] and sum(made[i].n_removed for i in range(12)) == 24
+    assert (made[50].text, made[50].n_removed, made[51].text, made[51].n_lines, made[52].text, made[52].n_lines) == ("", 1, None, 0, "", 1)
+    assert made[0][3:7] == ("k", 7, "d", "h")
+
+
 def test_sites_near_the_threshold_are_counted_exactly(spark):
     rows = [(s * 1000 + i, f"line {i} on {n} sites\nunique {s} {i} and a few more words here", f"s{s}") for i, n in enumerate(range(90, 112)) for s in range(n)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
