@@ -103,7 +103,7 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def _counters(grams: np.ndarray) -> bytes:
+def counters(grams: np.ndarray) -> bytes:
     """How many n-grams fall to each counter; all at the top if one would pass it, which bounds nothing."""
     counts = np.bincount((grams & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
     return (counts if counts.max() < 255 else np.full(COUNTERS, 255)).astype(np.uint8).tobytes()
@@ -167,22 +167,35 @@ def _slots(keys: DataFrame) -> bytes:
     return bits.tobytes()
 
 
+def _asked(batch: pa.RecordBatch, bits: np.ndarray) -> pa.Array:
+    slot = batch.column(1).to_numpy(zero_copy_only=False) % SLOTS
+    return pa.array(((bits[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1).astype(bool))
+
+
+def marked_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows (text, mark) whose mark is among the wanted, and by chance a few more: a filter of fixed size, where the rows are read."""
+    seen = docs.sparkSession.sparkContext.broadcast(_slots(wanted))
+
+    def run(batches):
+        bits = np.frombuffer(seen.value, np.uint32)
+        for batch in batches:
+            yield batch.filter(_asked(batch, bits))
+
+    return docs.select("text", "mark").mapInArrow(run, "text string, mark bigint")
+
+
 def segments(docs: DataFrame, text: str, words: int, wanted: DataFrame, order) -> DataFrame:
     """(id, fragment, grams) of the sets of the wanted rows (column ``mark``).
 
-    A filter of fixed size lets the other rows go where they are read, before their sets are made; what it lets pass
-    by chance drops out of the joins that follow. ``docs`` has ``mark`` and the text.
+    Other rows go before their sets are made; those that pass by chance drop out of the
+    joins that follow. ``docs`` has ``mark`` and the text.
     """
-    spark = docs.sparkSession
-    seen = spark.sparkContext.broadcast(_slots(wanted))
 
     def make(batches):
-        bits, cut, known = np.frombuffer(seen.value, np.uint32), order.value, WordHashes()
+        cut, known = order.value, WordHashes()
         for batch in batches:
-            slot = batch.column(1).to_numpy(zero_copy_only=False) % SLOTS
-            asked = (bits[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1
             ids, fragments, grams, sizes = [], [], [], 0
-            for t in as_bytes(batch.column(0).filter(pa.array(asked.astype(bool)))):
+            for t in as_bytes(batch.column(0)):
                 own = gram_set(t, words, known)
                 if not len(own):
                     continue
@@ -197,8 +210,8 @@ def segments(docs: DataFrame, text: str, words: int, wanted: DataFrame, order) -
                     ids, fragments, grams, sizes = [], [], [], 0
             yield _segment_batch(ids, fragments, grams)
 
-    made = docs.select(named(text).alias("text"), "mark").mapInArrow(make, "id bigint, fragment int, grams array<bigint>")
-    return made
+    rows = marked_rows(docs.select(named(text).alias("text"), "mark"), wanted)
+    return rows.select("text").mapInArrow(make, "id bigint, fragment int, grams array<bigint>")
 
 
 def _segment_batch(ids: list, fragments: list, grams: list) -> pa.RecordBatch:
@@ -346,7 +359,9 @@ def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return cells.select("x", "y").mapInArrow(compare, "a bigint, b bigint, room bigint").distinct()
 
 
-def similarity_links(met: DataFrame, sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def similarity_links(
+    met: DataFrame, sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int, known: DataFrame | None = None
+) -> DataFrame:
     """Links (a, b) that join all ids of similar sets, directly or through others.
 
     ``met`` has (gram, id, n, pos, often): the first n-grams of each set that others
@@ -354,11 +369,15 @@ def similarity_links(met: DataFrame, sets: DataFrame, fetch: Callable[[DataFrame
     n-grams all meet a few probes. As far as this does not link them, they meet all
     others in blocks, where counters alone are compared; that work grows with the
     ids outside an n-gram's main component times all of its ids. Of the pairs that
-    are left, each id's most likely one is tried first.
+    are left, each id's most likely one is tried first. Links ``known`` before are
+    not looked for again.
     """
     crowds = met.where("many")
     first = _few_pairs(met.where("NOT many"), percent).unionByName(_probe_pairs(crowds)).distinct()
-    links = stored(similar_pairs(first, sets, fetch, percent), "links")
+    if known is not None:
+        first = _apart(first.withColumn("room", F.lit(0)), known).drop("room")
+    links = similar_pairs(first, sets, fetch, percent)
+    links = stored(links if known is None else links.unionByName(known), "links")
     apart = _unsettled(crowds, links)
     if not apart.limit(1).count():
         return links
@@ -396,7 +415,7 @@ def gram_sets(docs: DataFrame, text: str, words: int, percent: int, order, keep:
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([ranks.often_share(s) for s in sets], pa.int64()),
                 pa.ListArray.from_arrays(at, pa.array(np.concatenate(first) if first else np.zeros(0, np.int64))),
-                pa.array([_counters(s) for s in sets], pa.binary()),
+                pa.array([counters(s) for s in sets], pa.binary()),
             ]
 
         return work

@@ -20,7 +20,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import apply_arrow, as_bytes, named, row_key, stored
+from . import ngram_join
+from .common import apply_arrow, as_bytes, named, packed, row_key, stored, unpacked
 from .graph import components
 
 # The exact search: 64 bits, at most 2 differ. Chains of the first two boxes must then be equal.
@@ -30,8 +31,10 @@ BUDGET = 2
 BUCKET = 8
 # The search by similarity: 64-bit lanes of the fingerprint, boxes of the sample ring and equal boxes of a chain.
 WIDE_LANES, RING_BOXES, RING_CHAIN = 32, 32, 3
-# Fingerprints of a block, of which two are compared in a task; bits of a slot that counts shingles.
-CELL, COUNT_BITS = 64, 20
+# Sets of fewer shingles skip the bit filter, whose error bounds need many; more differ by no more than so many standard errors.
+FILTERED_FROM, ERRORS = 64, 6
+# Up to so many keys are broadcast to take rows out; more are joined.
+MOST_SENT = 1 << 20
 _MIX = np.random.default_rng(20).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _RING_MIX = np.random.default_rng(21).integers(1, 2**63, RING_BOXES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLOCK = 255
@@ -183,10 +186,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def bit_budget(similarity: float, lanes: int) -> int:
-    """Bits that differ between sets of this Jaccard similarity: the expected number and two standard errors."""
+    """Bits that differ between sets of this Jaccard similarity at most: the expected number and ``ERRORS`` standard errors.
+
+    A filter, not a decision. Lanes are remixed from the same hashes, which does not make their bits dependent.
+    """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     width = 64 * lanes
-    return math.floor(width * share + 2 * math.sqrt(width * share * (1 - share)))
+    return math.floor(width * share + ERRORS * math.sqrt(width * share * (1 - share)))
 
 
 def ring_holds(boxes: np.ndarray, budget: int) -> np.ndarray:
@@ -204,198 +210,135 @@ def ring_holds(boxes: np.ndarray, budget: int) -> np.ndarray:
 
 
 def wide_fingerprints(docs: DataFrame, text: str, words: int, keep: Sequence[str]) -> DataFrame:
-    """Add ``fp``, the wide fingerprint of the set of shingles, and ``chains``, the keys of its sample ring.
+    """Add the set of shingles as ``id``, ``n`` and ``counters``, its wide fingerprint ``fp`` and the keys of its sample ring, ``chains``.
 
     A text without words has all bits zero and no chains.
     """
 
     def make():
+        known = ngram_join.WordHashes()
+
         def work(texts):
-            sets = [np.unique(shingle_hashes(t, words)) for t in as_bytes(texts)]
+            sets = [ngram_join.gram_set(t, words, known) for t in as_bytes(texts)]
             prints = [_majority(h, WIDE_LANES) if len(h) else bytes(8 * WIDE_LANES) for h in sets]
             chains = [_sample_chains(h) if len(h) else np.zeros(0, np.int64) for h in sets]
             at = np.cumsum([0, *map(len, chains)], dtype=np.int32)
             flat = np.concatenate(chains) if chains else np.zeros(0, np.int64)
-            return [pa.array(prints, pa.binary()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))]
+            return [
+                pa.array([ngram_join.set_id(h) for h in sets], pa.int64()),
+                pa.array([len(h) for h in sets], pa.int64()),
+                pa.array([ngram_join.counters(h) for h in sets], pa.binary()),
+                pa.array(prints, pa.binary()),
+                pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
+            ]
 
         return work
 
-    return apply_arrow(docs, [text], "fp binary, chains array<bigint>", make, keep)
+    return apply_arrow(docs, [text], "id bigint, n bigint, counters binary, fp binary, chains array<bigint>", make, keep)
 
 
-def _near(pairs: DataFrame, nodes: DataFrame, budget: int, lanes: int) -> DataFrame:
-    """Those of the pairs (a, b) whose fingerprints differ in at most ``budget`` bits."""
-    side = lambda key, fp: nodes.select(F.col("id").alias(key), F.col("fp").alias(fp))
-    paired = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+def _ring_near(pairs: DataFrame, nodes: DataFrame, budget: int) -> DataFrame:
+    """The pairs (a, b) that the ring and the full distance do not rule out; pairs with a small set all stay."""
+    side = lambda key, fp, n: nodes.select(F.col("id").alias(key), F.col("fp").alias(fp), F.col("n").alias(n))
+    paired = pairs.join(side("a", "x", "nx"), "a").join(side("b", "y", "ny"), "b").withColumn("small", F.least("nx", "ny") < FILTERED_FROM)
 
     def check():
-        def work(x, y):
-            shape = (len(x), -1)
-            left, right = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(shape) for v in (x, y))
-            boxes = np.bitwise_count(left ^ right) if len(x) else np.zeros((0, 8 * lanes), np.uint8)
+        def work(x, y, small):
+            left, right = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, 8 * WIDE_LANES) for v in (x, y))
+            boxes = np.bitwise_count(left ^ right)
             near = ring_holds(boxes, budget)
             near[near] = boxes[near].sum(axis=1, dtype=np.int64) <= budget
-            return [pa.array(near, pa.bool_())]
+            return [pa.array(near | small.to_numpy(zero_copy_only=False), pa.bool_())]
 
         return work
 
-    return apply_arrow(paired, ["x", "y"], "near boolean", check, ["a", "b"]).where("near").select("a", "b")
+    return apply_arrow(paired, ["x", "y", "small"], "near boolean", check, ["a", "b"]).where("near").select("a", "b")
 
 
-def _all_pairs(rows: DataFrame, differ: Column | None = None) -> DataFrame:
+def _all_pairs(rows: DataFrame) -> DataFrame:
     """Every pair of ids under one ``key``, once; for keys of few ids."""
     left, right = rows.alias("l"), rows.alias("r")
     met = left.join(right, F.col("l.key") == F.col("r.key")).where(F.col("l.id") > F.col("r.id"))
-    met = met if differ is None else met.where(differ)
     return met.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
 
 
-def _unsettled(rows: DataFrame) -> DataFrame:
-    """Rows (key, id, colour) of the keys whose ids have several colours, with the number ``n`` of ids."""
-    keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("colour").alias("low"), F.max("colour").alias("high"))
-    return rows.join(keys.where(F.col("low") != F.col("high")).select("key", "n"), "key")
-
-
-def _cell_links(rows: DataFrame, nodes: DataFrame, budget: int) -> DataFrame:
-    """Links between ids of one ``key`` and different colours, for keys of many ids.
+def similar_links(nodes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links (a, b) that join ids of sets of this Jaccard similarity, directly or through others; no other sets.
 
-    Under each key, every id that lacks the most common colour meets all ids.
-    Both sides are dealt into blocks, so a task compares a cell of about ``CELL``
-    by ``CELL`` fingerprints; a cell gives one link for two colours.
+    ``nodes`` has ``id``, ``n``, ``counters``, ``fp`` and ``chains`` of each distinct
+    set and the ``mark`` of a row of ``docs`` (text, mark) that has it. A budget this
+    wide leaves no chain of bits that must be equal, so candidates come from the
+    sample ring: at similarity 0.8 two sets have no three equal consecutive boxes
+    of 32 once in 100,000 cases. Under a chain of few, all are compared; under a
+    crowded one each meets a leader. What the bit filter leaves is decided on the
+    sets themselves. Where leaders do not join all of a crowd, its sets are joined
+    by their rarest shingles, which finds every similar pair among them.
     """
-    colours = rows.groupBy("key", "colour").agg(F.count(F.lit(1)).alias("c"))
-    main = colours.groupBy("key").agg(F.max(F.struct("c", "colour")).alias("top"), F.sum("c").alias("n"))
-    blocks = lambda n: F.ceil(n / CELL).cast("int")
-    sized = main.select("key", F.col("top.colour").alias("main"), blocks(F.col("n")).alias("all"), blocks(F.col("n") - F.col("top.c")).alias("few"))
-    dealt = rows.select("key", "id", "colour").join(sized, "key")
-    block = lambda of: F.pmod(F.xxhash64("key", "id"), F.col(of)).cast("int")
-    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    left = dealt.where(F.col("colour") != F.col("main")).select("key", "id", "colour", F.lit(True).alias("left"), block("few").alias("i"), every("all").alias("j"))
-    right = dealt.select("key", "id", "colour", F.lit(False).alias("left"), block("all").alias("j"), every("few").alias("i"))
-    held = left.unionByName(right).join(nodes.select("id", "fp"), "id")
-    member = F.struct("id", "colour", "fp")
-    cells = held.groupBy("key", "i", "j").agg(
-        F.collect_list(F.when(F.col("left"), member)).alias("x"), F.collect_list(F.when(~F.col("left"), member)).alias("y")
-    )
-
-    def compare(batches):
-        for batch in batches:
-            found = [[], []]
-            for cell in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
-                if not all(cell):
-                    continue
-                x, y = (np.frombuffer(b"".join(m["fp"] for m in side), np.uint64).reshape(len(side), -1) for side in cell)
-                cx, cy = (np.array([m["colour"] for m in side]) for side in cell)
-                met = set()
-                for k in range(len(x)):
-                    near = np.bitwise_count(x[k] ^ y).sum(axis=1, dtype=np.int64) <= budget
-                    for at in np.flatnonzero(near & (cy != cx[k])):
-                        if (cx[k], cy[at]) not in met:
-                            met.add((cx[k], cy[at]))
-                            found[0].append(cell[0][k]["id"])
-                            found[1].append(cell[1][at]["id"])
-            yield pa.RecordBatch.from_arrays([pa.array(f, pa.binary()) for f in found], names=["a", "b"])
-
-    return cells.select("x", "y").mapInArrow(compare, "a binary, b binary")
-
-
-def _rarest(texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(key, id, colour): the rarest shingles of each text, as many as a similar text cannot lack altogether.
-
-    Two sets of this similarity share that portion of either. So if all shingles
-    are put in one order, they share one among the first n - ceil(similarity * n) + 1.
-    Any order is right; counts in ``2 ** COUNT_BITS`` slots make it one that
-    leaves out what many texts quote.
-    """
-    shift = np.uint64(64 - COUNT_BITS)
-
-    def slots(batches):
-        total = np.zeros(1 << COUNT_BITS, np.int64)
-        for batch in batches:
-            for t in as_bytes(batch.column(0)):
-                np.add.at(total, (np.unique(shingle_hashes(t, words)) >> shift).astype(np.int64), 1)
-        at = np.flatnonzero(total)
-        for start in range(0, len(at), 100_000):
-            part = at[start : start + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["slot", "n"])
-
-    counted = texts.select("text").mapInArrow(slots, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    often = np.zeros(1 << COUNT_BITS, np.int64)
-    often[counted["slot"].to_numpy()] = counted["n"].to_numpy()
-    shared = texts.sparkSession.sparkContext.broadcast(often)
-
-    def make():
-        often = shared.value
-
-        def first(text):
-            own = np.unique(shingle_hashes(text, words))
-            order = np.lexsort((own, often[(own >> shift).astype(np.int64)]))
-            return own[order[: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1]].view(np.int64)
-
-        def work(column):
-            made = [first(t) for t in as_bytes(column)]
-            at = np.cumsum([0, *map(len, made)], dtype=np.int32)
-            return [pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(made) if made else np.zeros(0, np.int64)))]
-
-        return work
+    percent = round(100 * similarity)
+    budget = bit_budget(similarity, WIDE_LANES)
+    spark = docs.sparkSession
+    plain = spark.sparkContext.broadcast(ngram_join.Order(*(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64))))
+    fetch = lambda asked: stored(ngram_join.segments(docs, "text", words, asked, plain).dropDuplicates(["id", "fragment"]), "segments")
+    sets = nodes.select("id", "n", "counters", "mark")
 
-    return apply_arrow(texts, ["text"], "keys array<bigint>", make, ["id", "colour"]).select(F.explode("keys").alias("key"), "id", "colour")
-
-
-def similar_links(nodes: DataFrame, texts: DataFrame, words: int, similarity: float, lanes: int = WIDE_LANES) -> DataFrame:
-    """Links (a, b) that join ids of similar wide fingerprints, directly or through others.
-
-    ``nodes`` has distinct ``fp``, its ``id``, ``text_key`` and ``chains``; ``texts``
-    the text of each ``text_key``. A budget this wide leaves no chain of bits that
-    must be equal, so candidates come from the sample ring: at similarity 0.8 two
-    sets have no three equal consecutive boxes of 32 once in 100,000 cases. Under
-    a chain of few, all are compared. Under a crowded one, each first meets one
-    leader, another for each chain. Where that does not join all of a crowd, its
-    texts are searched again by their rarest shingles, of which a similar pair
-    shares one for certain: pairs under those of few texts, blocks under others.
-    So a pair is compared, or joined by others, if it shares a chain at all.
-    """
-    budget = bit_budget(similarity, lanes)
     keyed = nodes.select("id", F.explode("chains").alias("key"))
-    rank = F.struct(F.xxhash64("key", "id").alias("r"), F.col("id").alias("leader"))
-    leaders = keyed.groupBy("key").agg(F.min(rank).alias("top"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    met = stored(keyed.join(leaders.select("key", "top.leader", "n"), "key"), "ring")
+    leaders = keyed.groupBy("key").agg(F.min_by("id", F.xxhash64("key", "id")).alias("leader"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    met = stored(keyed.join(leaders, "key"), "ring")
     crowds = met.where(F.col("n") > BUCKET)
     led = crowds.where(F.col("id") != F.col("leader")).select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b"))
     pairs = _all_pairs(met.where(F.col("n") <= BUCKET).select("key", "id")).unionByName(led).distinct()
-    links = stored(_near(pairs, nodes, budget, lanes), "ring-links")
+    links = stored(ngram_join.similar_pairs(_ring_near(pairs, nodes, budget), sets, fetch, percent), "ring-links")
 
     roots = components(links).select(F.col("node").alias("id"), "root")
-    colour = F.xxhash64(F.coalesce("root", "id")).alias("colour")
-    apart = _unsettled(crowds.select("key", "id").join(roots, "id", "left").select("key", "id", colour))
-    apart = stored(apart.select("id", "colour").distinct(), "apart")
-    asked = apart.join(nodes.select("id", "text_key"), "id").join(texts.select("text_key", "text").dropDuplicates(["text_key"]), "text_key")
-    rare = stored(_unsettled(_rarest(stored(asked.select("id", "colour", "text"), "apart-texts"), words, similarity)), "rarest")
-    few = _all_pairs(rare.where(F.col("n") <= BUCKET).select("key", "id", "colour"), F.col("l.colour") != F.col("r.colour"))
-    cells = _cell_links(rare.where(F.col("n") > BUCKET), nodes, budget)
-    return links.unionByName(_near(few, nodes, budget, lanes)).unionByName(cells)
+    painted = crowds.select("key", "id").join(roots, "id", "left").withColumn("colour", F.coalesce("root", "id"))
+    mixed = painted.groupBy("key").agg(F.min("colour").alias("low"), F.max("colour").alias("high")).where(F.col("low") != F.col("high")).select("key")
+    apart = stored(painted.join(mixed, "key").select("id").distinct(), "apart")
+    if not apart.limit(1).count():
+        return links
+    asked = sets.join(apart, "id")
+    rows = ngram_join.marked_rows(docs, asked).join(asked.select("mark"), "mark", "left_semi").dropDuplicates(["mark"])
+    rows = stored(rows.select("text"), "apart-texts")
+    order = spark.sparkContext.broadcast(ngram_join.gram_order(rows, "text", words))
+    rare = ngram_join.first_grams(ngram_join.gram_sets(rows, "text", words, percent, order, []).where("n > 0"))
+    return stored(links.unionByName(ngram_join.similarity_links(rare, sets, fetch, percent, links)), "near-links")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of each group of near duplicates: the one with the smallest id, its own columns unchanged.
 
-    Texts of one group are linked, directly or through others, by fingerprints of
-    their sets of ``words``-word shingles that differ no more than texts of this similarity do.
-    Texts without words are alike. Of ids that are equal, or null (which come
-    last), the smaller text hash decides; of repeated rows one stays.
+    Texts of one group are linked, directly or through others, by a Jaccard
+    similarity of at least ``similarity`` of their sets of ``words``-word shingles.
+    Null texts and texts without words are alike. Of ids that are equal, or null
+    (which come last), the smaller text hash decides; of repeated rows one stays.
     """
-    own = docs.select(named(doc_id).alias("doc"), named(text).alias("text"), row_key(text).alias("text_key"))
-    rows = wide_fingerprints(own, "text", words, ["doc", "text_key"])
-    first = F.struct(F.col("doc").isNull().alias("none"), "doc", "text_key", "chains")
-    nodes = stored(rows.groupBy("fp").agg(F.min(first).alias("first")).withColumn("id", F.unhex(F.md5("fp"))), "wide-nodes")
-    links = similar_links(nodes.select("id", "fp", "first.text_key", "first.chains"), own, words, similarity)
+    own = docs.select(named(doc_id).alias("doc"), named(text).alias("text"), row_key(text).alias("text_key"), ngram_join.row_mark(doc_id, text).alias("mark"))
+    rows = wide_fingerprints(own, "text", words, ["doc", "text_key", "mark"])
+    first = F.struct(F.col("doc").isNull().alias("none"), "doc", "text_key", "mark", "n", "counters", "fp", "chains")
+    # many rows of one set leave one row of a partition each; the rest is written once
+    nodes = stored(rows.groupBy("id").agg(F.min(first).alias("first")).select("id", "first.*"), "wide-nodes")
+    links = similar_links(nodes.where("n > 0"), own.select("text", "mark"), words, similarity)
     roots = components(links).select(F.col("node").alias("id"), "root")
+    rank = F.struct("none", "doc", "text_key")
     chosen = (
-        nodes.join(roots, "id", "left")
+        nodes.select("id", "none", "doc", "text_key")
+        .join(roots, "id", "left")
         .groupBy(F.coalesce("root", "id").alias("root"))
-        .agg(F.min("first").alias("first"))
-        .select(F.col("first.doc").alias("_doc"), F.col("first.text_key").alias("_text_key"))
+        .agg(F.min(rank).alias("first"))
+        .select("first.doc", "first.text_key")
     )
-    keyed = docs.withColumn("_text_key", row_key(text))
-    same = keyed[f"`{doc_id}`"].eqNullSafe(chosen["_doc"]) & (keyed["_text_key"] == chosen["_text_key"])
-    return keyed.join(chosen, same, "left_semi").dropDuplicates([doc_id, "_text_key"]).drop("_text_key")
+    chosen = stored(chosen, "chosen")
+    # rows of most keys stay as they are; only the others are looked up, so no text is shuffled for those that stay
+    keys = own.groupBy("doc", "text_key").agg(F.count(F.lit(1)).alias("rows"))
+    same = lambda l, r: l["doc"].eqNullSafe(r["doc"]) & (l["text_key"] == r["text_key"])
+    kept = chosen.withColumn("kept", F.lit(True))
+    marked = keys.join(kept, same(keys, kept), "left").select(keys["doc"], keys["text_key"], "rows", F.coalesce("kept", F.lit(False)).alias("kept"))
+    odd = stored(marked.where(~F.col("kept") | (F.col("rows") > 1)), "odd-keys")
+    work = packed(docs, doc=doc_id, text=text).withColumn("text_key", row_key("text")).drop("text")
+    taken = F.broadcast(odd) if odd.count() <= MOST_SENT else odd
+    stay = work.join(taken, same(work, taken), "left_anti").select("row")
+    repeated = odd.where("kept")
+    if not repeated.limit(1).count():
+        return stay.select(*unpacked(docs.columns))
+    sent = F.broadcast(repeated) if repeated.count() <= MOST_SENT else repeated
+    once = work.join(sent, same(work, sent), "left_semi").dropDuplicates(["doc", "text_key"]).select("row")
+    return stay.unionByName(once).select(*unpacked(docs.columns))

@@ -93,7 +93,7 @@ def test_counters_bound_the_overlap():
         x = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
         y = np.unique(np.concatenate((x[: int(n * 0.93)], rng.integers(0, 2**63, n - int(n * 0.93), dtype=np.uint64))))
         common = len(np.intersect1d(x, y))
-        a, b = (np.frombuffer(ngram_join._counters(s), np.uint8)[None] for s in (x, y))
+        a, b = (np.frombuffer(ngram_join.counters(s), np.uint8)[None] for s in (x, y))
         if 185 * common >= 85 * (len(x) + len(y)):
             assert (ngram_join.room(a, b, np.array([len(x)]), np.array([len(y)]), 85) >= 0).all()
 
