@@ -35,8 +35,8 @@ OFTEN, MOST_OFTEN = 32, 1 << 20
 # Up to so many classes under one n-gram are compared pair by pair; of more, two blocks of CELL in one task.
 BUCKET, CELL = 8, 64
 PROBES, BEST_ROUNDS = 8, 2
-# Counters that bound the overlap of two sets from above.
-COUNTERS = 512
+# Counters that bound the overlap of two sets from above; blocks compare coarse ones first, each the sum of several.
+COUNTERS, COARSE = 512, 128
 # Slots of the filter for the rows whose sets are fetched.
 SLOTS = 1 << 26
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -109,6 +109,13 @@ def counters(grams: np.ndarray) -> bytes:
     return (counts if counts.max() < 255 else np.full(COUNTERS, 255)).astype(np.uint8).tobytes()
 
 
+def _coarse(fine: np.ndarray) -> np.ndarray:
+    """Rows of coarse counters from rows of fine ones, with the same rule for those at the top."""
+    sums = fine.reshape(len(fine), -1, COARSE).sum(axis=1, dtype=np.int64)
+    top = (fine.max(axis=1, initial=0) == 255) | (sums.max(axis=1, initial=0) >= 255)
+    return np.where(top[:, None], 255, sums).astype(np.uint8)
+
+
 def room(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, percent: int) -> np.ndarray:
     """How far the overlap that pairs of counters (rows of uint8) allow lies above the least that is asked; below 0: too small.
 
@@ -235,25 +242,29 @@ def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return dealt.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n")).groupBy("a", "b").agg(F.sum("n").alias("common"))
 
 
-def similar_pairs(pairs: DataFrame, sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are as similar as asked, exactly.
-
-    ``sets`` has (id, n, counters, mark). Counters bound the overlap from above,
-    so few pairs are left whose sets are fetched.
-    """
+def _with_room(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, na, nb, room) of those pairs whose counters leave room for the overlap."""
     side = lambda key, n, c: sets.select(F.col("id").alias(key), F.col("n").alias(n), F.col("counters").alias(c))
-    sized = pairs.join(side("a", "na", "ca"), "a").join(side("b", "nb", "cb"), "b")
+    sized = pairs.select("a", "b").join(side("a", "na", "ca"), "a").join(side("b", "nb", "cb"), "b")
 
     def make():
         def work(x, y, nx, ny):
             x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, COUNTERS) for v in (x, y))
-            return [pa.array(room(x, y, nx.to_numpy(), ny.to_numpy(), percent) >= 0, pa.bool_())]
+            return [pa.array(room(x, y, nx.to_numpy(), ny.to_numpy(), percent), pa.int64())]
 
         return work
 
     fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    near = apply_arrow(sized.where(fits), ["ca", "cb", "na", "nb"], "near boolean", make, ["a", "b", "na", "nb"]).where("near").drop("near")
-    near = stored(near, "near-pairs")
+    return apply_arrow(sized.where(fits), ["ca", "cb", "na", "nb"], "room bigint", make, ["a", "b", "na", "nb"]).where("room >= 0")
+
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose sets are as similar as asked, exactly.
+
+    ``sets`` has (id, n, counters, mark). Counters bound the overlap from above,
+    so few pairs are left whose sets are fetched.
+    """
+    near = stored(_with_room(pairs, sets, percent).drop("room"), "near-pairs")
     asked = near.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(sets.select("id", "mark"), "id")
     common = overlaps(near, fetch(asked))
     enough = (100 + percent) * F.col("common") >= percent * (F.col("na") + F.col("nb"))
@@ -318,7 +329,7 @@ def _main_colours(rows: DataFrame) -> DataFrame:
 
 
 def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, room) of ids of different components under n-grams of many that the counters cannot tell apart.
+    """Pairs (a, b) of ids of different components under n-grams of many that the coarse counters cannot tell apart.
 
     Under each n-gram every id that is not of the main component meets all ids.
     Both sides are dealt into blocks, so a task compares two blocks of about
@@ -331,19 +342,24 @@ def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     own = ["gram", "id", "colour", "n", "pos"]
     left = dealt.where(F.col("colour") != F.col("main")).select(*own, F.lit(True).alias("left"), block("few").alias("i"), every("all").alias("j"))
     right = dealt.select(*own, F.lit(False).alias("left"), every("few").alias("i"), block("all").alias("j"))
-    held = left.unionByName(right).join(sets.select("id", "counters"), "id")
+
+    def fold():
+        return lambda fine: [pa.array([r.tobytes() for r in _coarse(np.frombuffer(b"".join(fine.to_pylist()), np.uint8).reshape(-1, COUNTERS))], pa.binary())]
+
+    crowd = sets.join(rows.select("id").distinct(), "id").select("id", "counters")
+    held = left.unionByName(right).join(apply_arrow(crowd, ["counters"], "counters binary", fold), "id")
     member = F.struct("id", "colour", "n", "pos", "counters")
     cells = held.groupBy("gram", "i", "j").agg(F.collect_list(F.when(F.col("left"), member)).alias("x"), F.collect_list(F.when(~F.col("left"), member)).alias("y"))
 
     def compare(batches):
         for batch in batches:
-            found = [np.zeros((3, 0), np.int64)]
+            found = [np.zeros((2, 0), np.int64)]
             for x, y in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
                 if not x or not y:
                     continue
                 (ix, cx, nx, px, bx), (iy, cy, ny, py, by) = (
                     [np.array([m[k] for m in side], np.int64) for k in ("id", "colour", "n", "pos")]
-                    + [np.frombuffer(b"".join(m["counters"] for m in side), np.uint8).reshape(-1, COUNTERS)]
+                    + [np.frombuffer(b"".join(m["counters"] for m in side), np.uint8).reshape(-1, COARSE)]
                     for side in (x, y)
                 )
                 both = nx[:, None] + ny[None, :]
@@ -351,12 +367,11 @@ def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 fits = (cx[:, None] != cy[None, :]) & ((100 + percent) * rest >= percent * both)
                 fits &= 100 * np.minimum(nx[:, None], ny[None, :]) >= percent * np.maximum(nx[:, None], ny[None, :])
                 i, j = np.nonzero(fits)
-                left = room(bx[i], by[j], nx[i], ny[j], percent)
-                i, j, left = i[left >= 0], j[left >= 0], left[left >= 0]
-                found.append(np.stack((np.maximum(ix[i], iy[j]), np.minimum(ix[i], iy[j]), left)))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found, axis=1)], names=["a", "b", "room"])
+                near = room(bx[i], by[j], nx[i], ny[j], percent) >= 0
+                found.append(np.stack((np.maximum(ix[i], iy[j]), np.minimum(ix[i], iy[j])))[:, near])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found, axis=1)], names=["a", "b"])
 
-    return cells.select("x", "y").mapInArrow(compare, "a bigint, b bigint, room bigint").distinct()
+    return cells.select("x", "y").mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def similarity_links(
@@ -381,7 +396,7 @@ def similarity_links(
     apart = _unsettled(crowds, links)
     if not apart.limit(1).count():
         return links
-    pairs = stored(_block_pairs(apart, sets, percent), "block-pairs")
+    pairs = stored(_with_room(_block_pairs(apart, sets, percent), sets, percent), "block-pairs")
     for last in [False] * BEST_ROUNDS + [True]:
         left = stored(_apart(pairs, links), "apart-pairs")
         if not left.limit(1).count():
