@@ -6,10 +6,8 @@ import math
 from collections.abc import Sequence
 from statistics import NormalDist
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.measures import flag_sum, ratio
@@ -55,24 +53,40 @@ def experiment_power_plan(
     )
 
 
-def chi2_tail(x: float, dof: int) -> float:
-    """P(chi-square > x) from the finite sums for even and odd degrees of freedom."""
-    if x is None or dof is None or dof < 1 or math.isnan(x):
-        return float("nan")
-    half = x / 2
-    if half <= 0:
-        return 1.0
-    total = 0.0 if dof % 2 == 0 else math.erfc(math.sqrt(half))
-    i = 0.0 if dof % 2 == 0 else 0.5
-    while i < dof / 2:
-        total += math.exp(i * math.log(half) - half - math.lgamma(i + 1))
-        i += 1
-    return min(1.0, total)
+# Steps of the two expansions of the error function: enough for 15 digits on their sides of ERFC_CUT.
+ERFC_STEPS, ERFC_CUT = 80, 3.0
 
 
-@F.pandas_udf(T.DoubleType())
-def _tail(x: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([chi2_tail(a, int(d)) for a, d in zip(x, dof)], dtype="float64")
+def erfc_root(h: Column) -> Column:
+    """erfc(sqrt(h)) for h > 0: a series of positive terms near zero, a continued fraction beyond."""
+    down = F.sequence(F.lit(ERFC_STEPS), F.lit(1))
+    series = F.aggregate(down, F.lit(1.0), lambda acc, n: 1 + acc * h * 2 / (n * 2 + 1))
+    fraction = F.aggregate(down, F.lit(0.0), lambda acc, n: n / (h * 2) / (acc + 1))
+    near = 1 - 2 * F.sqrt(h / math.pi) * F.exp(-h) * series
+    return F.when(h < ERFC_CUT, near).otherwise(F.exp(-h) / F.sqrt(h * math.pi) / (fraction + 1))
+
+
+def chi2_tail(x: Column, dof: Column) -> Column:
+    """P(chi-square > x) from the finite sums for even and odd degrees of freedom; NaN without both.
+
+    Terms are carried as logarithms, so that large values do not run out of range.
+    """
+    half = x.cast("double") / 2
+    odd = dof % 2 == 1
+    start = F.when(odd, 0.5).otherwise(0.0)
+    first = -half + F.when(odd, F.log(half) / 2 - math.lgamma(1.5)).otherwise(0.0)
+    terms = F.filter(F.sequence(F.lit(0), F.floor(dof / 2).cast("int")), lambda k: k < F.floor(dof / 2))
+    total = F.aggregate(
+        terms,
+        F.struct(F.lit(0.0).alias("sum"), first.alias("log")),
+        lambda acc, k: F.struct(
+            (acc["sum"] + F.exp(acc["log"])).alias("sum"), (acc["log"] + F.log(half / (start + k + 1))).alias("log")
+        ),
+        lambda acc: acc["sum"],
+    )
+    known = x.isNotNull() & ~F.isnan(x.cast("double")) & (dof >= 1)
+    tail = F.least(F.lit(1.0), total + F.when(odd, erfc_root(half)).otherwise(0.0))
+    return F.when(F.coalesce(known, F.lit(False)), F.when(half <= 0, 1.0).otherwise(tail)).otherwise(F.lit(float("nan")))
 
 
 def chi_square_independence(df: DataFrame, rows: str, cols: str) -> DataFrame:
@@ -109,7 +123,7 @@ def chi_square_independence(df: DataFrame, rows: str, cols: str) -> DataFrame:
         .select(
             "chi_square",
             F.col("dof").cast("int").alias("dof"),
-            _tail("chi_square", F.col("dof").cast("int")).alias("p_value"),
+            chi2_tail(F.col("chi_square"), F.col("dof").cast("int")).alias("p_value"),
             F.sqrt(F.col("chi_square") / (n * (F.least("rows", "cols") - 1))).alias("cramers_v"),
         )
     )
@@ -151,7 +165,7 @@ def kruskal_wallis(df: DataFrame, group: str, value: str, min_group: int = 30, c
     h = (12 / (n * (n + 1)) * F.col("s") - 3 * (n + 1)) / (1 - F.col("ties") / (n * n * n - n))
     return sums.select(
         h.alias("statistic"),
-        _tail(h, (F.col("groups") - 1).cast("int")).alias("p_value"),
+        chi2_tail(h, (F.col("groups") - 1).cast("int")).alias("p_value"),
         F.col("groups"),
         n.cast("bigint").alias("observations"),
     )

@@ -11,8 +11,9 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, RobustScaler, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.measures import flag_sum, ratio
 from ..functions.times import as_date, iso_weekday
@@ -28,6 +29,12 @@ CATEGORICAL = (
 )
 NUMERIC = ("sale_price", "unit_cost", "gross_margin_rate", "order_item_count", "age")
 INFREQUENT = "infrequent"
+INTERCEPT = "(intercept)"
+WEIGHTS = "name STRING, level STRING, weight DOUBLE, centre DOUBLE, scale DOUBLE"
+# The fit stops when a step gains less than this share of the loss.
+TOLERANCE = 1e-10
+# Draws of the stratified split go below this prime; a cell holds so many neighbouring ones.
+DRAWS, DRAW_CELL = 2147483647, 2048
 
 
 def propensity_features(
@@ -88,7 +95,7 @@ class PropensityModel:
     feature_names: list[str] = field(default_factory=list)
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        return _prepare(df, self.levels, self.categorical, self.numeric)
+        return prepare(df, self.levels, self.categorical, self.numeric)
 
     def score(self, df: DataFrame) -> DataFrame:
         out = self.stages.transform(self.prepare(df))
@@ -104,6 +111,115 @@ class PropensityModel:
         return table.withColumn("odds_ratio", F.exp("coefficient")) if odds else table
 
 
+    def weights(self, spark: SparkSession) -> DataFrame:
+        """(name, level, weight, centre, scale): a row per trained level, per number and for the intercept."""
+        *_, fitted = self.stages.stages
+        known = self.stages.stages[0].labelsArray
+        scaler = self.stages.stages[3]
+        middle, spread = (scaler.median, scaler.range) if hasattr(scaler, "median") else (scaler.mean, scaler.std)
+        values = iter(map(float, fitted.coefficients.toArray()))
+        rows = []
+        for c, levels, size in zip(self.categorical, known, self.stages.stages[1].categorySizes):
+            own = [next(values) for _ in range(size + 1)]
+            rows += [(c, level, w, None, None) for level, w in zip(levels, own)]
+        rows += [(c, None, next(values), float(m), float(s)) for c, m, s in zip(self.numeric, middle, spread)]
+        return spark.createDataFrame([*rows, (INTERCEPT, None, float(fitted.intercept), None, None)], WEIGHTS)
+
+
+def score_by_weights(
+    prepared: DataFrame, weights: DataFrame, categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC
+) -> DataFrame:
+    """Add ``return_probability`` from a table of weights (see ``PropensityModel.weights``).
+
+    Each categorical column is joined to the weights of its own levels, a level
+    without one adds nothing; the few rows without a level come as one scalar map.
+    A number whose scale is 0 adds nothing.
+    """
+    columns, total = prepared.columns, F.lit(0.0)
+    for i, c in enumerate(categorical):
+        side = weights.filter((F.col("name") == c) & F.col("level").isNotNull()).select(
+            F.col("level").alias("_level"), F.col("weight").alias(f"_weight_{i}")
+        )
+        prepared = prepared.join(side, F.col(c) == F.col("_level"), "left").drop("_level")
+        total = total + F.coalesce(F.col(f"_weight_{i}"), F.lit(0.0))
+    entry = F.struct("name", F.struct("weight", "centre", "scale"))
+    numbers = weights.filter(F.col("level").isNull()).agg(F.map_from_entries(F.collect_list(entry))).scalar()
+    at = lambda c: F.col("_numbers")[c]
+    for c in numeric:
+        total = total + F.coalesce(at(c)["weight"] * (F.col(c) - at(c)["centre"]) / F.nullif(at(c)["scale"], F.lit(0.0)), F.lit(0.0))
+    total = total + at(INTERCEPT)["weight"]
+    return prepared.withColumn("_numbers", numbers).select(
+        *columns, (1 / (1 + F.exp(-total))).alias("return_probability")
+    )
+
+
+def coefficient_table(weights: DataFrame, odds: bool = False) -> DataFrame:
+    """Feature, coefficient and its size from a table of weights, without the intercept."""
+    table = weights.filter(F.col("name") != INTERCEPT).select(
+        F.concat_ws("_", "name", F.coalesce("level", F.lit("scaled"))).alias("feature"),
+        F.col("weight").alias("coefficient"),
+        F.abs("weight").alias("absolute_coefficient"),
+    )
+    return table.withColumn("odds_ratio", F.exp("coefficient")) if odds else table
+
+
+def penalised_gradient(
+    prepared: DataFrame,
+    weights: DataFrame,
+    label: str = "return_flag",
+    categorical: Sequence[str] = CATEGORICAL,
+    numeric: Sequence[str] = NUMERIC,
+) -> DataFrame:
+    """(name, level, gradient) of the class-balanced penalised loss at these weights, over the training rows.
+
+    Zero everywhere, and only there, if the weights are the optimum. The rows are
+    unfolded to their features and summed per feature before anything is shuffled.
+    """
+    sizes = prepared.groupBy(label).agg(F.count("*").alias("_size"))
+    classes = sizes.agg(F.struct(F.count("*").alias("classes"), F.sum("_size").alias("rows"))).scalar()
+    parts = weights.filter(F.col("level").isNull() & F.col("centre").isNotNull())
+    scaling = parts.agg(F.map_from_entries(F.collect_list(F.struct("name", F.struct("centre", "scale"))))).scalar()
+    scaled = lambda c: F.coalesce(
+        (F.col(c) - F.col("_scaling")[c]["centre"]) / F.nullif(F.col("_scaling")[c]["scale"], F.lit(0.0)), F.lit(0.0)
+    )
+    feature = lambda name, level, value: F.struct(name.alias("name"), level.alias("level"), value.alias("value"))
+    none = F.lit(None).cast("string")
+    features = [feature(F.lit(c), F.col(c), F.lit(1.0)) for c in categorical]
+    features += [feature(F.lit(c), none, scaled(c)) for c in numeric] + [feature(F.lit(INTERCEPT), none, F.lit(1.0))]
+    # a class of n rows weighs 1 / classes in all, so a row's share is 1 / (classes * n)
+    share = 1 / (F.col("_all.classes") * F.col("_size"))
+    residual = (F.col("return_probability") - F.col(label)) * share
+    sums = (
+        score_by_weights(prepared, weights, categorical, numeric)
+        .join(sizes, label)
+        .withColumns({"_scaling": scaling, "_all": classes})
+        .select(residual.alias("_residual"), F.inline(F.array(*features)))
+        .groupBy("name", "level")
+        .agg(F.sum(F.col("value") * F.col("_residual")).alias("slope"))
+    )
+    own = sums.select(F.col("name").alias("_name"), F.col("level").alias("_own"), "slope")
+    met = (F.col("name") == F.col("_name")) & F.col("level").eqNullSafe(F.col("_own"))
+    penalty = F.when(F.col("name") == INTERCEPT, 0.0).otherwise(F.col("weight") / F.col("_all.rows"))
+    return (
+        weights.join(own, met, "left")
+        .withColumn("_all", classes)
+        .select("name", "level", (F.coalesce("slope", F.lit(0.0)) + penalty).alias("gradient"))
+    )
+
+
+def optimality_certificate(model: PropensityModel, train: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """One row: training rows, classes, and whether no part of the penalised gradient exceeds ``tolerance``."""
+    gradient = penalised_gradient(
+        model.prepare(train), model.weights(train.sparkSession), model.label, model.categorical, model.numeric
+    )
+    largest = gradient.agg(F.max(F.abs("gradient"))).scalar()
+    return (
+        train.agg(F.count("*").alias("n_rows"), F.countDistinct(model.label).alias("classes"))
+        .withColumn("_largest", largest)
+        .select("n_rows", "classes", (F.col("_largest") <= tolerance).alias("optimal"))
+    )
+
+
 def level_table(train: DataFrame, columns: Sequence[str], minimum: int) -> DataFrame:
     """(name, level, rare) of all columns, counted in one pass and written to the shared folder."""
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in columns])
@@ -119,7 +235,7 @@ def level_table(train: DataFrame, columns: Sequence[str], minimum: int) -> DataF
     return spark.read.schema("name STRING, level STRING, rare BOOLEAN").parquet(path)
 
 
-def _prepare(df: DataFrame, levels: DataFrame, columns: Sequence[str], numeric: Sequence[str]) -> DataFrame:
+def prepare(df: DataFrame, levels: DataFrame, columns: Sequence[str], numeric: Sequence[str]) -> DataFrame:
     """Levels rare in training take the shared one; levels it never saw stay as they are."""
     for c in columns:
         side = levels.filter((F.col("name") == c) & F.col("rare")).select(F.col("level").alias("_level"), F.col("rare").alias("_rare"))
@@ -145,7 +261,7 @@ def propensity_fit(
     inverse strength on summed losses.
     """
     levels = level_table(train, categorical, min_frequency)
-    ready = _prepare(train, levels, categorical, numeric)
+    ready = prepare(train, levels, categorical, numeric)
     counts = {r[0]: r[1] for r in train.groupBy(label).agg(F.count("*")).collect()}
     total = sum(counts.values())
     weight = F.lit(0.0)
@@ -163,7 +279,7 @@ def propensity_fit(
         scale(inputCol="_numbers", outputCol="_scaled", **centre),
         VectorAssembler(inputCols=[f"{c}_v" for c in categorical] + ["_scaled"], outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol="_label", weightCol="_weight", standardization=False,
-                           regParam=1.0 / max(total, 1), maxIter=max_iter),
+                           regParam=1.0 / max(total, 1), maxIter=max_iter, tol=TOLERANCE),
     ]
     with kept(weighted.select(*categorical, *numeric, "_weight", "_label")) as data:
         fitted = Pipeline(stages=stages).fit(data)
@@ -187,10 +303,44 @@ def split_by_date(features: DataFrame, cut: dt.date) -> tuple[DataFrame, DataFra
     return features.filter(F.col("order_date") < F.lit(cut)), features.filter(F.col("order_date") >= F.lit(cut))
 
 
-def split_by_hash(features: DataFrame, key: str, label: str, share: float = 0.25) -> tuple[DataFrame, DataFrame]:
-    """Repeatable split on a hash of the key, drawn separately within each class."""
-    draw = F.pmod(F.xxhash64(F.col(key), F.col(label)), F.lit(1_000_000)) / 1_000_000
-    return features.filter(draw >= share), features.filter(draw < share)
+def split_stratified(features: DataFrame, key: str, label: str, share: float = 0.25) -> tuple[DataFrame, DataFrame]:
+    """Repeatable split that takes exactly the rounded ``share`` of each class, at any partitioning.
+
+    Rows are ordered by an integer draw from their whole-number key, then by the
+    key. Per class the last row to take is found by running totals over cells of
+    the draw, then among the rows of one cell. Copies of one key stay together, so
+    they can move a count; a null key counts as 0, null labels are one class.
+    """
+    number = F.coalesce(F.col(key).cast("bigint"), F.lit(0))
+    place = F.struct((F.pmod(number, F.lit(DRAWS)) * 48271 % DRAWS).alias("draw"), number.alias("key"))
+    kind = F.coalesce(F.col(label).cast("string"), F.lit(""))
+    slots = features.select(kind.alias("kind"), place.alias("place"))
+    cell = F.floor(F.col("place.draw") / DRAW_CELL)
+    cells = slots.groupBy("kind", cell.alias("cell")).agg(F.count("*").alias("n"))
+    sizes = cells.groupBy("kind").agg(F.round(F.sum("n") * share).alias("wanted"))
+    before = running_totals(cells, ["kind"], "cell", ["n"], (lambda c: F.floor(c / 1024),)).join(sizes, "kind")
+    edge_cell = before.filter((F.col("n_before") < F.col("wanted")) & (F.col("wanted") <= F.col("n_before") + F.col("n")))
+    inside = (
+        slots.withColumn("cell", cell)
+        .join(edge_cell.select("kind", "cell", "n_before", "wanted"), ["kind", "cell"])
+        .groupBy("kind", "place", "n_before", "wanted")
+        .agg(F.count("*").alias("n"))
+    )
+    upto = Window.partitionBy("kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    last = (
+        inside.withColumn("reached", F.col("n_before") + F.sum("n").over(upto))
+        .filter(F.col("reached") >= F.col("wanted"))
+        .groupBy("kind")
+        .agg(F.min("place").alias("place"))
+    )
+    edges = last.agg(F.map_from_entries(F.collect_list(F.struct("kind", "place")))).scalar()
+    # the scalar map has one entry per class
+    taken = F.coalesce(place <= F.col("_edges")[kind], F.lit(False))
+    drawn = features.withColumn("_edges", edges).withColumn("_taken", taken)
+    return (
+        drawn.filter(~F.col("_taken")).select(*features.columns),
+        drawn.filter(F.col("_taken")).select(*features.columns),
+    )
 
 
 def risk_deciles(scored: DataFrame, score: str = "return_probability", parts: int = 10, name: str = "risk_decile") -> DataFrame:

@@ -239,14 +239,18 @@ register(
 )
 
 
+V_CATEGORICAL = ("category", "department", "price_band", "acquisition_source")
+V_NUMERIC = ("sale_price", "gross_margin_rate", "delivery_lead_days")
+
+
 def _variant(w):
     feats = propensity.variant_features(w.wide_order_item, w.dim_product)
-    train, test = propensity.split_by_hash(feats, "order_item_id", "return_flag")
-    model = propensity.propensity_fit(
-        train, categorical=("category", "department", "price_band", "acquisition_source"),
-        numeric=("sale_price", "gross_margin_rate", "delivery_lead_days"), min_frequency=1, scaler="standard",
-    )
-    return model, feats, test
+    train, test = propensity.split_stratified(feats, "order_item_id", "return_flag")
+    return _variant_fit(train), feats, test
+
+
+def _variant_fit(train):
+    return propensity.propensity_fit(train, categorical=V_CATEGORICAL, numeric=V_NUMERIC, min_frequency=1, scaler="standard")
 
 
 register("L14_variant_confusion", lambda w: (lambda m, f, t: propensity.confusion(m.score(t)))(*_variant(w)))
@@ -268,6 +272,151 @@ register(
     parts=PARTS,
 )
 
+# Weights by a rule over the trained levels: everything after the fit can then be checked, and so can the fit's own optimum.
+NUMBER_WEIGHTS = {
+    "sale_price": (0.2, 50.0, 40.0), "unit_cost": (-0.3, 25.0, 20.0), "gross_margin_rate": (0.4, 0.5, 0.1),
+    "order_item_count": (-0.1, 2.0, 1.0), "age": (0.05, 40.0, 15.0), "delivery_lead_days": (0.15, 4.0, 2.0),
+}
+START = -0.1
+
+
+def _stored_weights(prepared, categorical, numeric):
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in categorical])
+    levels = prepared.select(F.inline(pairs)).distinct().withColumn(
+        "weight", (F.pmod(F.length("level") + F.length("name"), F.lit(7)) - 3) / 10
+    )
+    rows = [(c, None, *NUMBER_WEIGHTS[c]) for c in numeric] + [(propensity.INTERCEPT, None, START, None, None)]
+    fixed = prepared.sparkSession.createDataFrame(rows, propensity.WEIGHTS)
+    return fixed.unionByName(levels, allowMissingColumns=True)
+
+
+def _by_stored_weights(train, rows, categorical=propensity.CATEGORICAL, numeric=propensity.NUMERIC, minimum=20):
+    """(rows with a score, weights): prepared as the fit prepares them, without fitting."""
+    levels = propensity.level_table(train, categorical, minimum)
+    ready = lambda df: propensity.prepare(df, levels, categorical, numeric)
+    weights = _stored_weights(ready(train), categorical, numeric)
+    return propensity.score_by_weights(ready(rows), weights, categorical, numeric), weights
+
+
+def _stored_sql(source, train, categorical, numeric, minimum, prefix):
+    """Views over ``source``: level counts, prepared rows, trained levels with their weights, scores."""
+    levels = " UNION ALL ".join(
+        f"SELECT '{c}' AS name, {c} AS level FROM {source} WHERE {train} AND {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) < {minimum}"
+        for c in categorical
+    )
+    folded = ", ".join(
+        f"CASE WHEN {c} IN (SELECT level FROM {prefix}_rare WHERE name = '{c}') THEN 'infrequent' ELSE COALESCE({c}, 'missing') END AS {c}"
+        for c in categorical
+    )
+    trained = " UNION ALL ".join(f"SELECT DISTINCT '{c}' AS name, {c} AS level FROM {prefix}_ready WHERE {train}" for c in categorical)
+    joins = " ".join(f"LEFT JOIN {prefix}_levels l{i} ON l{i}.name = '{c}' AND l{i}.level = r.{c}" for i, c in enumerate(categorical))
+    dot = " + ".join(f"COALESCE(l{i}.weight, 0)" for i in range(len(categorical)))
+    dot += "".join(
+        f" + COALESCE(({w}::DOUBLE) * (r.{c} - ({m}::DOUBLE)) / {d}::DOUBLE, ({w}::DOUBLE) * (0 - ({m}::DOUBLE)) / {d}::DOUBLE)"
+        for c, (w, m, d) in ((c, NUMBER_WEIGHTS[c]) for c in numeric)
+    )
+    return {
+        f"{prefix}_rare": levels,
+        f"{prefix}_ready": f"SELECT * REPLACE ({folded}) FROM {source}",
+        f"{prefix}_levels": f"SELECT name, level, ((length(level) + length(name)) % 7 - 3) / 10.0::DOUBLE AS weight FROM ({trained})",
+        f"{prefix}_scores": f"SELECT r.*, 1 / (1 + exp(-({dot} + ({START}::DOUBLE)))) AS p FROM {prefix}_ready r {joins}",
+    }
+
+
+_BEFORE, _AFTER = f"order_date < DATE '{SPLIT}'", f"order_date >= DATE '{SPLIT}'"
+PARTS |= _stored_sql("w_features", _BEFORE, propensity.CATEGORICAL, propensity.NUMERIC, 20, "w_dated")
+_VARIANT = {
+    "w_variant": """
+      SELECT *, rank() OVER (PARTITION BY return_flag ORDER BY order_item_id % 2147483647 * 48271 % 2147483647, order_item_id)
+          <= round(COUNT(*) OVER (PARTITION BY return_flag) * 0.25::DOUBLE) AS held_out
+      FROM (SELECT order_item_id, returned_item_flag AS return_flag, i.sale_price::DOUBLE AS sale_price, gross_margin_rate,
+          delivery_lead_days, i.category, i.department, CASE WHEN p.retail_price < 25 THEN 'Under $25' WHEN p.retail_price < 50 THEN '$25-$49'
+            WHEN p.retail_price < 100 THEN '$50-$99' WHEN p.retail_price < 200 THEN '$100-$199' ELSE '$200+' END AS price_band,
+          acquisition_source FROM w_items i JOIN w_products p ON p.product_id = i.product_id
+        WHERE return_observation_eligible_flag = 1 AND delivery_lead_days IS NOT NULL)""",
+}
+_VARIANT |= _stored_sql("w_variant", "NOT held_out", V_CATEGORICAL, V_NUMERIC, 1, "w_split")
+
+
+def _dated(w):
+    return propensity.split_by_date(_features(w), SPLIT)
+
+
+def _stored_gradient(train, _):
+    levels = propensity.level_table(train, propensity.CATEGORICAL, 20)
+    ready = propensity.prepare(train, levels, propensity.CATEGORICAL, propensity.NUMERIC)
+    return propensity.penalised_gradient(ready, _stored_weights(ready, propensity.CATEGORICAL, propensity.NUMERIC))
+
+
+def _variant_split(w):
+    return propensity.split_stratified(propensity.variant_features(w.wide_order_item, w.dim_product), "order_item_id", "return_flag")
+
+
+def _variant_scores(w):
+    return (lambda train, test: _by_stored_weights(train, test, V_CATEGORICAL, V_NUMERIC, 1)[0])(*_variant_split(w))
+
+
+def _certificate_sql(source, train):
+    return f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT return_flag) AS classes, true AS optimal FROM {source} WHERE {train}"
+
+
+register(
+    "L09_optimality_certificate",
+    lambda w: (lambda train, _: propensity.optimality_certificate(propensity.propensity_fit(train), train))(*_dated(w)),
+    _certificate_sql("w_features", _BEFORE),
+    parts=PARTS,
+)
+register(
+    "L09_gradient_stored_weights",
+    lambda w: _stored_gradient(*_dated(w)),
+    f"""
+    WITH t AS (SELECT *, (p - return_flag) / (COUNT(*) OVER (PARTITION BY return_flag) * (SELECT COUNT(DISTINCT return_flag) FROM w_dated_ready
+            WHERE {_BEFORE})) AS res FROM w_dated_scores WHERE {_BEFORE}),
+      g AS ({" UNION ALL ".join(f"SELECT '{c}' AS name, {c} AS level, SUM(res) AS slope FROM t GROUP BY {c}" for c in propensity.CATEGORICAL)})
+    SELECT name, level, slope + weight / (SELECT COUNT(*) FROM t) AS gradient FROM g JOIN w_dated_levels USING (name, level)
+    UNION ALL SELECT '{propensity.INTERCEPT}', NULL, SUM(res) FROM t
+    {" ".join(f"UNION ALL SELECT '{c}', NULL, SUM(res * (COALESCE({c}, 0) - {m}::DOUBLE) / {d}::DOUBLE) + ({x}::DOUBLE) / COUNT(*) FROM t"
+              for c, (x, m, d) in ((c, NUMBER_WEIGHTS[c]) for c in propensity.NUMERIC))}""",
+    rounded=["gradient"], digits=9, parts=PARTS,
+)
+register(
+    "L10_propensity_scores_stored_weights",
+    lambda w: _by_stored_weights(*_dated(w))[0].select("order_item_id", "order_date", "return_flag", "return_probability"),
+    f"SELECT order_item_id, order_date, return_flag, p AS return_probability FROM w_dated_scores WHERE {_AFTER}",
+    rounded=["return_probability"], digits=9, parts=PARTS,
+)
+register(
+    "L12_coefficients_stored_weights",
+    lambda w: propensity.coefficient_table(_by_stored_weights(*_dated(w))[1], odds=True),
+    f"""SELECT *, abs(coefficient) AS absolute_coefficient, exp(coefficient) AS odds_ratio FROM (
+          SELECT name || '_' || level AS feature, weight AS coefficient FROM w_dated_levels
+          UNION ALL SELECT * FROM (VALUES {", ".join(f"('{c}_scaled', {NUMBER_WEIGHTS[c][0]}::DOUBLE)" for c in propensity.NUMERIC)}))""",
+    rounded=["odds_ratio"], parts=PARTS,
+)
+register(
+    "L14_stratified_split",
+    lambda w: _variant_split(w)[1].select("order_item_id", "return_flag"),
+    "SELECT order_item_id, return_flag FROM w_variant WHERE held_out",
+    parts=_VARIANT,
+)
+register(
+    "L14_optimality_certificate",
+    lambda w: (lambda train, _: propensity.optimality_certificate(_variant_fit(train), train))(*_variant_split(w)),
+    _certificate_sql("w_variant", "NOT held_out"),
+    parts=_VARIANT,
+)
+register(
+    "L14_confusion_stored_weights",
+    lambda w: propensity.confusion(_variant_scores(w).withColumn("return_probability", F.round("return_probability", 9))),
+    f"""SELECT *, {ratio('true_positive', 'true_positive + false_positive')} AS precision,
+          {ratio('true_positive', 'true_positive + false_negative')} AS recall
+        FROM (SELECT COUNT(*) FILTER (round(p, 9) > 0.5 AND return_flag = 1) AS true_positive,
+          COUNT(*) FILTER (round(p, 9) > 0.5 AND return_flag = 0) AS false_positive,
+          COUNT(*) FILTER (round(p, 9) <= 0.5 AND return_flag = 1) AS false_negative,
+          COUNT(*) FILTER (round(p, 9) <= 0.5 AND return_flag = 0) AS true_negative FROM w_split_scores WHERE held_out)""",
+    parts=_VARIANT,
+)
+
 # --- baskets and tests -------------------------------------------------------
 
 _RULES = {
@@ -303,32 +452,48 @@ register(
           (VALUES (0.8::DOUBLE, 0.8416212335729143::DOUBLE), (0.9::DOUBLE, 1.2815515655446004::DOUBLE)) z(pw, zb),
           (VALUES (0.01::DOUBLE), (0.02::DOUBLE), (0.03::DOUBLE)) e(d))))""",
 )
-register(
-    "L18_chi_square",
-    lambda w: experiments.returns_by_category(w.wide_order_item, w.dim_product).drop("p_value"),
-    """
+_CHI = """
     WITH o AS (SELECT category AS a, returned_item_flag AS b, COUNT(*)::DOUBLE AS n FROM w_items
                WHERE return_observation_eligible_flag = 1 GROUP BY ALL),
       e AS (SELECT a, b, n, SUM(n) OVER (PARTITION BY a) * SUM(n) OVER (PARTITION BY b) / SUM(n) OVER () AS x, SUM(n) OVER () AS t FROM o)
     SELECT SUM((n - x) * (n - x) / x) AS chi_square, CAST((COUNT(DISTINCT a) - 1) * (COUNT(DISTINCT b) - 1) AS INTEGER) AS dof,
-      sqrt(SUM((n - x) * (n - x) / x) / MAX(t) / least(COUNT(DISTINCT a) - 1, COUNT(DISTINCT b) - 1)) AS cramers_v FROM e""",
-    rounded=["chi_square", "cramers_v"],
-)
-register(
-    "L19_kruskal_wallis",
-    lambda w: experiments.ship_lead_by_center(w.wide_order_item).drop("p_value"),
-    """
+      sqrt(SUM((n - x) * (n - x) / x) / MAX(t) / least(COUNT(DISTINCT a) - 1, COUNT(DISTINCT b) - 1)) AS cramers_v FROM e"""
+_KRUSKAL = """
     WITH x AS (SELECT distribution_center_id AS g, ship_lead_days AS v FROM w_items
                WHERE valid_timeline_flag = 1 AND ship_lead_days IS NOT NULL
                QUALIFY COUNT(*) OVER (PARTITION BY distribution_center_id) >= 30),
       r AS (SELECT g, v, rank() OVER (ORDER BY v) + (COUNT(*) OVER (PARTITION BY v) - 1) / 2.0::DOUBLE AS rk, COUNT(*) OVER () AS n FROM x),
       s AS (SELECT SUM(q * q / m) AS s, COUNT(*) AS k, MAX(n)::DOUBLE AS n FROM (SELECT g, SUM(rk) AS q, COUNT(*) AS m, MAX(n) AS n FROM r GROUP BY g)),
       t AS (SELECT SUM(c * c * c - c) AS t FROM (SELECT COUNT(*)::DOUBLE AS c FROM x GROUP BY v))
-    SELECT (12 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - t / (n * n * n - n)) AS statistic, k AS groups, n::BIGINT AS observations FROM s, t""",
-    rounded=["statistic"],
+    SELECT (12 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - t / (n * n * n - n)) AS statistic, k AS groups, n::BIGINT AS observations FROM s, t"""
+
+
+def _tail_sql(x, dof):
+    """P(chi-square > x): the finite sums with log-gamma, and the error function in its two expansions."""
+    h, down = f"({x} / 2)", "list_transform(range(80, 0, -1), lambda k: k::DOUBLE)"
+    series = f"list_reduce(list_prepend(1::DOUBLE, {down}), lambda a, n: 1 + a * {h} * 2 / (2 * n + 1))"
+    fraction = f"list_reduce(list_prepend(0::DOUBLE, {down}), lambda a, n: n / (2 * {h}) / (a + 1))"
+    root = f"CASE WHEN {h} < 3 THEN 1 - 2 * sqrt({h} / pi()) * exp(-{h}) * {series} ELSE exp(-{h}) / sqrt({h} * pi()) / ({fraction} + 1) END"
+    terms = f"list_transform(range(0, {dof} // 2), lambda i: exp((i + {dof} % 2 / 2) * ln({h}) - {h} - lgamma(i + {dof} % 2 / 2 + 1)))"
+    return f"least(1, COALESCE(list_sum({terms}), 0) + CASE WHEN {dof} % 2 = 1 THEN {root} ELSE 0 END)"
+
+
+register("L18_chi_square", lambda w: experiments.returns_by_category(w.wide_order_item, w.dim_product).drop("p_value"), _CHI,
+         rounded=["chi_square", "cramers_v"])
+register("L19_kruskal_wallis", lambda w: experiments.ship_lead_by_center(w.wide_order_item).drop("p_value"), _KRUSKAL,
+         rounded=["statistic"])
+register(
+    "L18_chi_square_p_value",
+    lambda w: experiments.returns_by_category(w.wide_order_item, w.dim_product),
+    f"SELECT *, {_tail_sql('chi_square', 'dof')} AS p_value FROM ({_CHI})",
+    rounded=["chi_square", "cramers_v", "p_value"],
+)
+register(
+    "L19_kruskal_wallis_p_value",
+    lambda w: experiments.ship_lead_by_center(w.wide_order_item),
+    f"SELECT *, {_tail_sql('statistic', '(groups - 1)')} AS p_value FROM ({_KRUSKAL})",
+    rounded=["statistic", "p_value"],
 )
-register("L18_chi_square_p_value", lambda w: experiments.returns_by_category(w.wide_order_item, w.dim_product))
-register("L19_kruskal_wallis_p_value", lambda w: experiments.ship_lead_by_center(w.wide_order_item))
 
 # --- forecasts ---------------------------------------------------------------
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import math
 import random
 
 import numpy as np
@@ -134,10 +135,22 @@ def test_chi_square_two_by_two_is_corrected(spark):
     assert r.chi_square == pytest.approx(((np.abs(np.array([[8, 4], [3, 9]]) - e) - 0.5) ** 2 / e).sum())
 
 
-def test_chi2_tail_known_values():
-    assert experiments.chi2_tail(3.841458820694124, 1) == pytest.approx(0.05)
-    assert experiments.chi2_tail(18.307038053275146, 10) == pytest.approx(0.05)
-    assert experiments.chi2_tail(11.070497693516351, 5) == pytest.approx(0.05)
+def chi2_sums(x, dof):
+    half = x / 2
+    start = dof % 2 / 2
+    terms = [math.exp((start + k) * math.log(half) - half - math.lgamma(start + k + 1)) for k in range(dof // 2)]
+    return sum(terms) + (math.erfc(math.sqrt(half)) if dof % 2 else 0.0)
+
+
+def test_chi2_tail(spark):
+    known = [(3.841458820694124, 1, 0.05), (18.307038053275146, 10, 0.05), (11.070497693516351, 5, 0.05)]
+    grid = [(x, d, chi2_sums(x, d)) for d in (1, 2, 3, 4, 9, 24, 301) for x in (1e-9, 0.3, 2.0, 5.99, 6.01, 40.0, 310.0, 900.0)]
+    edges = [(0.0, 3, 1.0), (0.0, 2, 1.0), (-1.0, 4, 1.0)]
+    df = spark.createDataFrame(known + grid + edges, "x double, d int, p double")
+    for r in df.select("*", experiments.chi2_tail(F.col("x"), F.col("d")).alias("got")).collect():
+        assert r.got == pytest.approx(r.p, rel=1e-9, abs=1e-300), r
+    odd = spark.createDataFrame([(None, 1), (1.0, None), (1.0, 0), (float("nan"), 2)], "x double, d int")
+    assert all(math.isnan(r[0]) for r in odd.select(experiments.chi2_tail(F.col("x"), F.col("d"))).collect())
 
 
 def test_kruskal(spark):
@@ -251,6 +264,56 @@ def test_propensity(warehouse):
     assert not any(n.startswith("feature_") for n in names)
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_stratified_split_is_exact(spark, parts):
+    rows = [(k, int(k % 7 == 0)) for k in range(1, 4001)] + [(10**12 + k, 2) for k in range(3)] + [(-5, None), (None, None)]
+    df = spark.createDataFrame(rows, "k long, y int").repartition(parts)
+    train, test = propensity.split_stratified(df, "k", "y")
+    got, rest = [tuple(r) for r in test.collect()], [tuple(r) for r in train.collect()]
+    assert sorted(got + rest, key=str) == sorted(rows, key=str)
+    count = lambda found: {y: sum(r[1] == y for r in found) for y in (0, 1, 2, None)}
+    sizes = count(rows)
+    assert count(got) == {y: math.floor(n * 0.25 + 0.5) for y, n in sizes.items()}
+    place = lambda r: ((r[0] or 0) % 2147483647 * 48271 % 2147483647, r[0] or 0)
+    for y in sizes:
+        assert max((place(r) for r in got if r[1] == y), default=(-1, 0)) < min(place(r) for r in rest if r[1] == y)
+    train, test = propensity.split_stratified(df.limit(0), "k", "y")
+    assert (train.count(), test.count()) == (0, 0)
+
+
+def test_stratified_split_keeps_copies_together(spark):
+    df = spark.createDataFrame([(k // 3, 1) for k in range(300)], "k int, y int")
+    train, test = propensity.split_stratified(df, "k", "y")
+    keys = {r.k for r in test.collect()}
+    assert not keys & {r.k for r in train.collect()} and len(keys) == 25
+
+
+@pytest.mark.parametrize("scaler", ["robust", "standard"])
+def test_weights_score_as_the_model_and_are_its_optimum(spark, scaler):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(600):
+        kind = [None, "a", "b", "c", f"rare{i}"][int(rng.choice(5, p=[0.1, 0.4, 0.3, 0.15, 0.05]))]
+        x = float(rng.normal())
+        rows.append((i, kind, x, 7.0, int(rng.random() < 1 / (1 + np.exp(-(x + (kind == "a"))))), i % 4 == 0))
+    df = spark.createDataFrame(rows, "i int, kind string, x double, constant double, y int, held boolean")
+    train, test = df.filter("not held"), df.filter("held")
+    model = propensity.propensity_fit(train, "y", ("kind",), ("x", "constant"), scaler=scaler)
+    want = {r.i: r.return_probability for r in model.score(test).collect()}
+    weights = model.weights(spark)
+    made = propensity.score_by_weights(model.prepare(test), weights, ("kind",), ("x", "constant"))
+    assert {r.i: r.return_probability for r in made.collect()} == pytest.approx(want, rel=1e-9)
+    assert propensity.optimality_certificate(model, train).first() == (450, 2, True)
+    # the certificate tells other weights from the optimum
+    off = weights.withColumn("weight", F.col("weight") + F.when(F.col("name") == "x", 0.001).otherwise(0.0))
+    parts = propensity.penalised_gradient(model.prepare(train), off, "y", ("kind",), ("x", "constant"))
+    assert max(abs(r.gradient) for r in parts.collect()) > 1e-5
+    names = {r.feature: r.coefficient for r in propensity.coefficient_table(weights).collect()}
+    fitted = {r.feature: r.coefficient for r in model.coefficients(train).collect()}
+    assert {k: fitted[k] for k in names} == pytest.approx(names)
+    assert all(v == 0 for k, v in fitted.items() if k not in names)
+
+
 def test_horizon_errors_of_all_models_match_brute_force(spark, monkeypatch):
     df, months = series(spark, [100 + 10 * (i % 12) + i for i in range(28)])
     monkeypatch.setattr(queries_analytics, "_series", lambda w: df)
