@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .license_scan import GAP, MAX_STRETCH, MIN_SHARE, Template
+from .license_scan import MAX_STRETCH, MIN_SHARE, Template
 
 _AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 # Words of digits, letters and non-ASCII characters; words between ASCII blanks.
@@ -51,11 +51,6 @@ WITH docs AS (
 ), votes AS (
   SELECT DISTINCT doc_id, t, pos, p, pos - p AS diagonal
   FROM (SELECT doc_id, pos, w[pos + 1] || ' ' || w[pos + 2] || ' ' || w[pos + 3] AS gram FROM places) JOIN grams USING (gram)
-), marked AS (
-  SELECT *, CASE WHEN diagonal - lag(diagonal, 1, -1000000000) OVER o > {GAP} THEN 1 ELSE 0 END AS fresh
-  FROM votes WINDOW o AS (PARTITION BY doc_id, t ORDER BY diagonal)
-), spans AS (
-  SELECT *, sum(fresh) OVER (PARTITION BY doc_id, t ORDER BY diagonal RANGE UNBOUNDED PRECEDING) AS span FROM marked
 ), meta AS (SELECT DISTINCT t, label, exact, runs FROM runs
 ), full_places AS (
   SELECT doc_id, t, diagonal FROM votes JOIN meta USING (t) WHERE exact
@@ -64,14 +59,17 @@ WITH docs AS (
   SELECT doc_id, count(*) AS n_base, min(diagonal) AS first_word, max(diagonal) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
   FROM full_places JOIN meta USING (t) GROUP BY doc_id
+), anchors AS (SELECT DISTINCT doc_id, t, diagonal FROM votes
 ), found AS (
-  SELECT doc_id, label, exact, count(DISTINCT p) / runs AS share, max(pos) - min(pos) + 3 AS reach, runs
-  FROM spans JOIN meta USING (t) GROUP BY doc_id, t, label, exact, runs, span
+  SELECT a.doc_id, a.t, a.diagonal, label, count(DISTINCT p) / runs AS share
+  FROM anchors a JOIN meta USING (t) JOIN votes v ON v.doc_id = a.doc_id AND v.t = a.t
+    AND v.diagonal BETWEEN a.diagonal AND a.diagonal + {MAX_STRETCH - 1} * (runs + 2)
+  WHERE NOT exact GROUP BY a.doc_id, a.t, a.diagonal, label, runs
 ), more AS (
-  SELECT doc_id, label FROM found WHERE NOT exact AND share >= {MIN_SHARE} AND reach <= {MAX_STRETCH} * (runs + 2)
+  SELECT doc_id, label FROM found WHERE share >= {MIN_SHARE}
   UNION SELECT doc_id, label FROM full_places JOIN meta USING (t)
 ), named AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM more GROUP BY doc_id
-), best AS (SELECT doc_id, max(share) AS score FROM found WHERE NOT exact GROUP BY doc_id
+), best AS (SELECT doc_id, max(share) AS score FROM found GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word,
        CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,

@@ -93,6 +93,25 @@ def test_licenses_tell_equal_ids_apart(spark):
     assert sorted((r.doc_id or 0, r.base_labels) for r in made.collect()) == [(0, "apache-2"), (1, "cc-by-nc"), (1, "cc-by-nc"), (1, "mit")]
 
 
+def test_licenses_with_words_put_in_or_left_out(spark):
+    grant = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met".split()
+    put = lambda at, n: " ".join([*grant[:at], *(f"acme{i}" for i in range(n)), *grant[at:]])
+    rows = [
+        "ACME CORP PAGE TWO OF NINE".join([" ".join(grant[:10]) + " ", " " + " ".join(grant[10:])]),
+        put(10, 21),
+        put(10, 22),                                        # beyond twice the template's length
+        "before " * 9 + put(4, 3) + " between " * 30 + put(12, 8) + " after",
+        " ".join(grant * 3),
+        " ".join(grant[:8] + grant[12:]),
+        " ".join(reversed(grant)),
+    ]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    made = {r.doc_id: r.asDict() for r in license_scan.scan_licenses(docs).collect()}
+    assert [made[i]["labels"] for i in range(7)] == ["bsd-grant", "bsd-grant", "", "bsd-grant", "bsd-grant", "bsd-grant", ""]
+    want = by_sql(sql.license_scan(license_scan.TEMPLATES), documents=[{"doc_id": i, "text": t} for i, t in enumerate(rows)])
+    assert made == {r["doc_id"]: r for r in want}
+
+
 # lines
 
 
@@ -281,6 +300,23 @@ def test_overlap_edges(spark, tricky, nothing):
     assert decontaminate.find_overlap(tricky, bench.where("false")).where("n_hit > 0").count() == 0
 
 
+def test_item_sets_stay_small_with_copies_and_long_items(spark, monkeypatch):
+    draw = random.Random(5)
+    long = " ".join(f"w{draw.randrange(400)}" for _ in range(600))
+    shared = "One passage, that MANY items quote: a b c d e f g"
+    bench = spark.createDataFrame([(0, long)] + [(1, shared)] * 200 + [(k, shared) for k in range(2, 120)] + [(500, None), (501, "")], "item_id long, text string")
+    some = long.split()
+    texts = [" ".join(some[k : k + 15]) for k in range(0, 580, 60)] + ["x " + shared.upper() + " y", "clean", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = {r.doc_id: r for r in decontaminate.find_overlap(docs, bench).collect()}
+    made, sizes = decontaminate.NgramSet.__init__, []
+    monkeypatch.setattr(decontaminate.NgramSet, "__init__", lambda self, items, window: sizes.append(len(items)) or made(self, items, window))
+    split = {r.doc_id: r for r in decontaminate.find_overlap(docs, bench, set_windows=300).collect()}
+    assert len(sizes) > 3 and max(sizes) <= 330
+    assert all((split[i].n_words, split[i].spans, split[i].items) == (r.n_words, r.spans, r.items) for i, r in whole.items())
+    assert len(whole[10]["items"]) == 119 and whole[0].n_hit == 15
+
+
 def test_decontaminate_cuts_or_drops(spark):
     item = "q w e r t y u i o p"
     docs = spark.createDataFrame([(1, "Öpen, (q w e r t y u i o p)! " + "end " * 30), (2, item), (3, "clean"), (4, None)], "doc_id long, text string")
