@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import apply_arrow, as_bytes, named, packed, stored, unpacked, WORD_TABLE
+from .common import apply_arrow, as_bytes, lower_az, named, packed, stored, unpacked, WORD_TABLE
 
 WINDOW = 10
 # Windows held by one broadcast set; more of them are scanned set after set.
@@ -125,16 +125,26 @@ def find_overlap(
     An item is cut into windows of ``window`` words; a shorter one, unless empty,
     is one window. Null texts have no words, null items no windows; a null item id
     is the empty string. Repeated rows stay; columns of these names are replaced;
-    without items nothing is hit. The items are counted first: as many as fit
-    ``set_windows`` windows are broadcast at a time, and the documents pass once
-    through each such set.
+    without items nothing is hit. Repeated items count once. Items of at most
+    ``set_windows`` words in all (32 bytes counting as a word at least) are broadcast
+    as they are; more are cut into their distinct windows, which are spread by hash
+    over sets of about that size, and the documents pass once through each set. So
+    neither copies of an item nor one very long item make a set larger.
     """
     bench = benchmark.select(
         F.coalesce(named(item_id).cast("string"), F.lit("")).alias("item"), F.coalesce(named(item_text), F.lit("")).alias("text")
     )
-    n_words = F.size(F.split(F.col("text"), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
-    total = bench.agg(F.sum(n_words)).first()[0] or 0
+    bench = bench.distinct()
+    words = F.array_remove(F.split(lower_az(F.col("text")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
+    size = F.greatest(F.size(words), F.ceil(F.octet_length("text") / 32))
+    total = bench.agg(F.sum(size)).first()[0] or 0
     sets = max(1, -(-int(total) // set_windows))
+    if sets > 1:
+        # a window is an item of its own here, under its item's id
+        last = F.greatest(F.size("_words") - window, F.lit(0))
+        cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("_words", i + 1, window), " "))
+        split = bench.select("item", words.alias("_words")).where(F.size("_words") > 0)
+        bench = stored(split.select("item", F.explode(cut).alias("text")).distinct(), "windows")
     fields = "n_words long, spans array<struct<first: int, last: int>>, items array<string>"
     taken = {"n_words", "spans", "items", "n_hit"}
     names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in taken]
