@@ -2,8 +2,9 @@
 
 A series is one row: its months folded into an array (one entry per calendar
 month). Forecast formulas are array expressions, origins and steps are exploded
-from it, and many series run side by side. Only exponential smoothing, which has
-no closed form, runs in Python, on Arrow batches of (series, origin) rows.
+from it, and many series run side by side. Exponential smoothing folds its state
+over that array; Python only searches the weights, on Arrow batches of (series,
+origin) rows, and not at all where a table of weights is given.
 """
 
 from __future__ import annotations
@@ -122,20 +123,121 @@ def _fit(y: np.ndarray) -> np.ndarray:
     return best
 
 
-def _smooth(x: np.ndarray, horizon: int) -> np.ndarray:
-    """Additive trend and season on log values, with fitted weights and starting states."""
-    y = np.log(np.maximum(x, 1.0))
-    _, level, trend, season = (part[0] for part in _run(y, _fit(y)[None, :]))
-    steps = np.arange(1, horizon + 1)
-    return np.exp(level + trend * steps + season[(len(y) + steps - 1) % SEASON])
+FIT = T.StructType(
+    [T.StructField(c, T.DoubleType()) for c in ("alpha", "beta", "gamma", "level", "trend")]
+    + [T.StructField("season", T.ArrayType(T.DoubleType()))]
+)
+
+
+@F.pandas_udf(FIT)
+def _fitted(logs: pd.Series) -> pd.DataFrame:
+    """Weights and starting states of each array of log values."""
+    rows = []
+    for y in logs:
+        p = _fit(np.asarray(y, dtype=float))
+        rows.append([*(0.001 + 0.998 / (1 + np.exp(-p[:3]))).tolist(), float(p[3]), float(p[4]), p[5:].tolist()])
+    return pd.DataFrame(rows, columns=["alpha", "beta", "gamma", "level", "trend", "season"])
+
+
+def _logs(history: str | Column) -> Column:
+    return F.transform(history, lambda x: F.log(F.greatest(x, F.lit(1.0))))
+
+
+def _mean(array: Column) -> Column:
+    return F.aggregate(array, F.lit(0.0), lambda total, x: total + x) / F.size(array)
+
+
+def starting_state(logs: Column) -> Column:
+    """Level, trend and season before the first month, from the means of the first two seasons."""
+    first, second = _mean(F.slice(logs, 1, SEASON)), _mean(F.slice(logs, SEASON + 1, SEASON))
+    trend = (second - first) / SEASON
+    season = F.transform(F.slice(logs, 1, SEASON), lambda x, i: x - first - trend * (i - F.lit((SEASON - 1) / 2)))
+    return F.struct((first - trend * ((SEASON + 1) / 2)).alias("level"), trend.alias("trend"), season.alias("season"))
+
+
+def smoothed(logs: Column, fit: Column, finish) -> Column:
+    """Fold level, trend and season over log values and hand the last state to ``finish``.
+
+    The season is a queue: its head is the month at hand, and the renewed value
+    goes to the end. ``error`` is the sum of squared one-step errors.
+    """
+    a, b, g = fit["alpha"], fit["beta"], fit["gamma"]
+
+    def step(state: Column, y: Column) -> Column:
+        s, level, trend = F.get(state["season"], F.lit(0)), state["level"], state["trend"]
+        now = a * (y - s) + (1 - a) * (level + trend)
+        miss = y - (level + trend + s)
+        return F.struct(
+            now.alias("level"),
+            (b * (now - level) + (1 - b) * trend).alias("trend"),
+            F.concat(F.slice(state["season"], 2, SEASON - 1), F.array(g * (y - now) + (1 - g) * s)).alias("season"),
+            (state["error"] + miss * miss).alias("error"),
+        )
+
+    zero = F.struct(
+        fit["level"].alias("level"), fit["trend"].alias("trend"), fit["season"].alias("season"), F.lit(0.0).alias("error")
+    )
+    return F.aggregate(logs, zero, step, finish)
+
+
+def _smooth_path(logs: Column, fit: Column, horizon: Column) -> Column:
+    return smoothed(
+        logs,
+        fit,
+        lambda state: F.transform(
+            F.sequence(F.lit(1), horizon),
+            lambda k: F.exp(state["level"] + state["trend"] * k + F.get(state["season"], (k - 1) % SEASON)),
+        ),
+    )
+
+
+def _with_fit(rows: DataFrame, weights: DataFrame | None, by: Sequence[str]) -> DataFrame:
+    """Add ``_fit``: the searched weights of every row, or those of the given table."""
+    logs = F.col("_logs")
+    if weights is None:
+        return rows.withColumn("_fit", _fitted(logs))
+    names = ["alpha", "beta", "gamma"]
+    stored = ["level", "trend", "season"] if "season" in weights.columns else []
+    packed = weights.select(*by, F.struct(*[F.col(c) for c in names + stored]).alias("_w"))
+    joined = rows.join(packed, list(by), "left") if by else rows.withColumn("_w", packed.scalar())
+    start = F.col("_w") if stored else starting_state(logs)
+    fit = F.struct(
+        *[F.col("_w")[c].alias(c) for c in names], *[start[c].alias(c) for c in ("level", "trend", "season")]
+    )
+    return joined.withColumn("_fit", fit).drop("_w")
+
 
+def smoothing_weights(series: DataFrame, by: Sequence[str] = (), value: str = "net_sales_value") -> DataFrame:
+    """The searched weights and starting states, one row per series of at least ``MIN_TRAIN`` months."""
+    rows = fold(series, by, value).filter(F.size("history") >= MIN_TRAIN).withColumn("_logs", _logs("history"))
+    return _with_fit(rows, None, by).select(*by, "_fit.*")
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _smooth_paths(history: pd.Series, horizon: pd.Series) -> pd.Series:
-    return pd.Series([_smooth(np.asarray(h, dtype=float), int(n)).tolist() for h, n in zip(history, horizon)])
+
+def smoothing_error(
+    series: DataFrame, weights: DataFrame, by: Sequence[str] = (), value: str = "net_sales_value"
+) -> DataFrame:
+    """Months and squared one-step error of log values of every series under each row of its weights.
+
+    A weights table may hold several candidates per series.
+    """
+    rows = fold(series, by, value).filter(F.size("history") >= MIN_TRAIN).withColumn("_logs", _logs("history"))
+    names = [c for c in ("alpha", "beta", "gamma", "level", "trend", "season") if c in weights.columns]
+    sets = weights.groupBy(*by).agg(F.collect_list(F.struct(*names)).alias("_w"))
+    joined = rows.join(sets, list(by)) if by else rows.withColumn("_w", sets.scalar())
+    one = joined.select("*", F.explode("_w").alias("_one")).withColumn("_start", starting_state(F.col("_logs")))
+    start = F.col("_one" if "season" in names else "_start")
+    fit = F.struct(
+        *[F.col("_one")[c].alias(c) for c in names[:3]], *[start[c].alias(c) for c in ("level", "trend", "season")]
+    )
+    return one.withColumn("_fit", fit).select(
+        *by,
+        *[F.col("_one")[c].alias(c) for c in names[:3]],
+        F.size("_logs").alias("months"),
+        smoothed(F.col("_logs"), F.col("_fit"), lambda state: state["error"]).alias("squared_error"),
+    )
 
 
-def _predictions(rows: DataFrame, models: Sequence[str]) -> DataFrame:
+def _predictions(rows: DataFrame, models: Sequence[str], by: Sequence[str], weights: DataFrame | None) -> DataFrame:
     """Add one forecast path per model; ``rows`` has history, n (training length) and horizon."""
     n = F.col("n")
     steps = F.sequence(F.lit(0), F.col("horizon") - 1)
@@ -143,21 +245,29 @@ def _predictions(rows: DataFrame, models: Sequence[str]) -> DataFrame:
     drift = F.transform(steps, lambda s: _naive("history", n, s) * _drift("history", n))
     paths = {NAIVE: naive, DRIFT: drift}
     if SMOOTH in models:
-        train = F.slice("history", 1, n)
         enough = n >= MIN_TRAIN
         # short series never reach the fit: they are cut to nothing and take the drift path
-        fits = rows.filter(enough).withColumn("_p", _smooth_paths(train, F.col("horizon")))
-        short = rows.filter(~enough).withColumn("_p", drift)
-        rows = fits.unionByName(short)
+        fits = _with_fit(rows.filter(enough).withColumn("_logs", _logs(F.slice("history", 1, n))), weights, by)
+        fits = fits.withColumn("_p", _smooth_path(F.col("_logs"), F.col("_fit"), F.col("horizon"))).drop("_logs", "_fit")
+        rows = fits.unionByName(rows.filter(~enough).withColumn("_p", drift))
         paths[SMOOTH] = F.col("_p")
     packed = F.array(*[F.struct(F.lit(m).alias("model"), paths[m].alias("path")) for m in models])
     return rows.select("*", F.inline(packed)).drop("_p")
 
 
 def forecast(
-    series: DataFrame, end: dt.date, models: Sequence[str] = MODELS, by: Sequence[str] = (), value: str = "net_sales_value"
+    series: DataFrame,
+    end: dt.date,
+    models: Sequence[str] = MODELS,
+    by: Sequence[str] = (),
+    value: str = "net_sales_value",
+    weights: DataFrame | None = None,
 ) -> DataFrame:
-    """Forecast of every model from the month after the last one to ``end``."""
+    """Forecast of every model from the month after the last one to ``end``.
+
+    ``weights`` holds one row per series: ``by``, alpha, beta, gamma and, where
+    kept from a fit, level, trend and season. Without it they are searched.
+    """
     last = F.element_at("months", -1)
     rows = fold(series, by, value).select(
         *by,
@@ -166,7 +276,7 @@ def forecast(
         F.size("history").alias("n"),
         months_apart(last, F.lit(end)).alias("horizon"),
     ).filter(F.col("horizon") > 0)
-    return _predictions(rows, models).select(
+    return _predictions(rows, models, by, weights).select(
         *by, "model", "last_month", F.posexplode("path").alias("step", "forecast_net_sales_usd")
     ).select(
         *by,
@@ -185,11 +295,14 @@ def backtest(
     models: Sequence[str] = MODELS,
     by: Sequence[str] = (),
     value: str = "net_sales_value",
+    weights: DataFrame | None = None,
 ) -> DataFrame:
     """Every step of every origin scored at the production horizon.
 
     The horizon is given, or runs to ``end``. ``origin_month`` is the first
-    forecast month. A series too short to be tested raises an error.
+    forecast month. A series too short to be tested raises an error. Given
+    ``weights`` serve all origins of a series; without them each origin is fitted
+    on its own past.
     """
     if (end is None) == (horizon is None):
         raise ValueError("give either end or horizon")
@@ -201,8 +314,8 @@ def backtest(
     )
     folded = fold(series, by, value).withColumn("horizon", span.cast("int"))
     rows = folded.withColumn("offset", F.explode(offsets)).withColumn("n", size - F.col("offset"))
-    spread = rows.repartition(*by, "offset") if SMOOTH in models else rows
-    scored = _predictions(spread, models).select("*", F.posexplode("path").alias("i", "predicted"))
+    spread = rows.repartition(*by, "offset") if SMOOTH in models and weights is None else rows
+    scored = _predictions(spread, models, by, weights).select("*", F.posexplode("path").alias("i", "predicted"))
     actual = _at("history", F.col("n") + F.col("i"))
     return scored.select(
         *by,

@@ -504,17 +504,17 @@ def _series(w):
     return forecasting.monthly_series(w.sales_monthly)
 
 
-def _backtest(w, models=CLOSED):
-    return forecasting.backtest(_series(w), end=FORECAST_END, models=models)
+def _backtest(w, models=CLOSED, weights=None):
+    return forecasting.backtest(_series(w), end=FORECAST_END, models=models, weights=weights)
 
 
-def _monthly(w, models=CLOSED):
-    best = forecasting.champion(forecasting.forecast_accuracy(_backtest(w, models)))
-    return forecasting.forecast_monthly(forecasting.forecast(_series(w), FORECAST_END, models), best)
+def _monthly(w, models=CLOSED, weights=None):
+    best = forecasting.champion(forecasting.forecast_accuracy(_backtest(w, models, weights)))
+    return forecasting.forecast_monthly(forecasting.forecast(_series(w), FORECAST_END, models, weights=weights), best)
 
 
-def _outlook(w, models=CLOSED):
-    return forecasting.forecast_vs_plan(w.fact_plan, _monthly(w, models), w.actual_country_month)
+def _outlook(w, models=CLOSED, weights=None):
+    return forecasting.forecast_vs_plan(w.fact_plan, _monthly(w, models, weights), w.actual_country_month)
 
 
 FORECAST_PARTS = {
@@ -564,6 +564,20 @@ def _forecast(key, build, sql=None, **kw):
     register(key, build, sql, parts=FORECAST_PARTS, **kw)
 
 
+_DECAY = (
+    "SELECT step, "
+    + ", ".join(f"round(AVG(absolute_percentage_error) FILTER (model = '{m}') * 100, 1) AS {m}_pct" for m in forecasting.MODELS)
+    + ", COUNT(*) AS folds FROM w_detail GROUP BY step"
+)
+_TIE = """SELECT b.month_start, round(FIRST(b.forecast_net_sales_usd), 2) AS total, round(SUM(s.forecast_net_sales_usd), 2) AS allocated_to_markets,
+    round(SUM(s.forecast_net_sales_usd) - FIRST(b.forecast_net_sales_usd), 6) + 0.0 AS delta
+  FROM w_best b JOIN w_split s ON s.month_start = b.month_start GROUP BY 1"""
+_LANDING = f"""SELECT SUM(e)::DOUBLE AS expected_full_period, SUM(p)::DOUBLE AS plan_full_period, {ratio('SUM(e)', 'SUM(p)')} AS achievement
+  FROM (SELECT CAST(expected_net_sales_usd AS DECIMAL(18,4)) AS e, CAST(plan_net_sales_usd AS DECIMAL(18,4)) AS p
+        FROM w_outlook WHERE plan_net_sales_usd IS NOT NULL)"""
+_ALT = """SELECT model, AVG(2 * abs(predicted - actual) / (abs(predicted) + abs(actual))) AS smape,
+    sqrt(AVG((predicted - actual) * (predicted - actual))) / AVG(actual) AS rmse_pct,
+    quantile_cont(absolute_percentage_error, 0.5) AS median_ape FROM w_detail GROUP BY model"""
 _errors = ["mape", "mape_first_step", "mape_final_step", "worst_month_ape", "bias"]
 _forecast("N01_monthly_series", _series, "SELECT month_start, net_sales_value, net_margin_rate FROM w_series")
 _forecast("N02_seasonal_naive", lambda w: forecasting.forecast(_series(w), FORECAST_END, [forecasting.NAIVE]),
@@ -584,30 +598,21 @@ _forecast("N09_forecast_country_month", lambda w: forecasting.forecast_country_m
 _forecast("N10_forecast_vs_plan", _outlook, "SELECT * FROM w_outlook",
           rounded=["forecast_net_sales_usd", "expected_net_sales_usd", "gap_to_plan_usd"], digits=4)
 _forecast("N11_horizon_decay", lambda w: forecasting.horizon_decay(_backtest(w)),
-          """SELECT step, round(AVG(absolute_percentage_error) FILTER (model = 'seasonal_naive') * 100, 1) AS seasonal_naive_pct,
-               round(AVG(absolute_percentage_error) FILTER (model = 'seasonal_naive_drift') * 100, 1) AS seasonal_naive_drift_pct,
-               NULL::DOUBLE AS holt_winters_log_pct, COUNT(*) AS folds FROM w_detail GROUP BY step""")
+          _DECAY)
 _forecast("N12_allocation_tie",
           lambda w: forecasting.allocation_tie(_monthly(w), forecasting.forecast_country_month(_monthly(w), w.actual_country_month)),
-          """SELECT b.month_start, round(FIRST(b.forecast_net_sales_usd), 2) AS total, round(SUM(s.forecast_net_sales_usd), 2) AS allocated_to_markets,
-               round(SUM(s.forecast_net_sales_usd) - FIRST(b.forecast_net_sales_usd), 6) + 0.0 AS delta
-             FROM w_best b JOIN w_split s ON s.month_start = b.month_start GROUP BY 1""", rounded=["delta"], digits=4)
+          _TIE, rounded=["delta"], digits=4)
 _forecast("N13_landing_achievement", lambda w: forecasting.landing_achievement(_outlook(w)),
-          f"""SELECT SUM(e)::DOUBLE AS expected_full_period, SUM(p)::DOUBLE AS plan_full_period, {ratio('SUM(e)', 'SUM(p)')} AS achievement
-              FROM (SELECT CAST(expected_net_sales_usd AS DECIMAL(18,4)) AS e, CAST(plan_net_sales_usd AS DECIMAL(18,4)) AS p
-                    FROM w_outlook WHERE plan_net_sales_usd IS NOT NULL)""")
+          _LANDING)
 _forecast("N14_alt_errors", lambda w: forecasting.alt_errors(_backtest(w)),
-          """SELECT model, AVG(2 * abs(predicted - actual) / (abs(predicted) + abs(actual))) AS smape,
-               sqrt(AVG((predicted - actual) * (predicted - actual))) / AVG(actual) AS rmse_pct,
-               quantile_cont(absolute_percentage_error, 0.5) AS median_ape FROM w_detail GROUP BY model""",
-          rounded=["smape", "rmse_pct", "median_ape"])
+          _ALT, rounded=["smape", "rmse_pct", "median_ape"])
 
 
 def _countries(w, monthly):
     return forecasting.forecast_country_month(monthly, w.actual_country_month)
 
 
-# The whole set with Holt-Winters, which SQL cannot follow; the names without suffix choose between the closed forms.
+# The whole set with searched Holt-Winters weights, a search that SQL cannot follow; the names without suffix choose between the closed forms.
 _ALL = forecasting.MODELS
 _forecast("N08_forecast_scenarios_all_models", lambda w: forecasting.forecast_scenarios(_monthly(w, _ALL), _series(w)))
 _forecast("N09_forecast_country_month_all_models", lambda w: _countries(w, _monthly(w, _ALL)))
@@ -617,3 +622,96 @@ _forecast("N12_allocation_tie_all_models",
           lambda w: forecasting.allocation_tie(_monthly(w, _ALL), _countries(w, _monthly(w, _ALL))))
 _forecast("N13_landing_achievement_all_models", lambda w: forecasting.landing_achievement(_outlook(w, _ALL)))
 _forecast("N14_alt_errors_all_models", lambda w: forecasting.alt_errors(_backtest(w, _ALL)))
+
+# The whole set again with Holt-Winters weights from a table: the same fold and choice, which SQL follows month by month.
+SMOOTHING = (0.2, 0.02, 0.3)
+_GRID = (0.1, 0.3, 0.5, 0.7, 0.9)
+_KEPT = ("alpha", "beta", "gamma")
+
+
+def _stored_smoothing(w):
+    return _series(w).sparkSession.range(1).select(*[F.lit(v).alias(c) for c, v in zip(_KEPT, SMOOTHING)])
+
+
+def _weight_grid(w):
+    out = _series(w).sparkSession.range(1)
+    for c in _KEPT:
+        out = out.withColumn(c, F.explode(F.array(*[F.lit(v) for v in _GRID])))
+    return out.drop("id")
+
+
+def _fit_certificate(w):
+    """Squared error of the searched weights against the best of the grid."""
+    series = _series(w)
+    fitted = forecasting.smoothing_error(series, forecasting.smoothing_weights(series)).agg(F.min("squared_error")).scalar()
+    grid = forecasting.smoothing_error(series, _weight_grid(w))
+    return grid.agg(F.max("months").alias("months"), F.min("squared_error").alias("grid_error")).withColumn(
+        "fit_not_worse", fitted <= F.col("grid_error")
+    )
+
+
+def _folded_sql(sets):
+    """State after every month for each weight set of the relation ``sets`` (a, b, g)."""
+    return f"""WITH RECURSIVE logs AS (SELECT i, ln(greatest(net_sales_value::DOUBLE, 1.0::DOUBLE)) AS y FROM w_series),
+      means AS (SELECT AVG(y) FILTER (i < 12) AS m, (AVG(y) FILTER (i BETWEEN 12 AND 23) - AVG(y) FILTER (i < 12)) / 12 AS t FROM logs),
+      begun AS (SELECT m - t * 6.5 AS level, t AS trend, list(y - m - t * (i - 5.5) ORDER BY i) AS season
+        FROM logs, means WHERE i < 12 GROUP BY m, t),
+      walk AS (
+        SELECT a, b, g, 0::BIGINT AS n, level, trend, season, 0::DOUBLE AS error FROM begun, ({sets})
+        UNION ALL
+        SELECT a, b, g, n + 1, now, b * (now - level) + (1 - b) * trend, list_append(season[2:12], g * (y - now) + (1 - g) * season[1]),
+          error + (y - (level + trend + season[1])) * (y - (level + trend + season[1]))
+        FROM (SELECT walk.*, y, a * (y - season[1]) + (1 - a) * (level + trend) AS now FROM walk JOIN logs ON logs.i = walk.n)
+      )
+    SELECT * FROM walk"""
+
+
+_given = ", ".join(f"{v}::DOUBLE AS {c}" for c, v in zip("abg", SMOOTHING))
+_levels = ", ".join(f"({v}::DOUBLE)" for v in _GRID)
+SMOOTHED_PARTS = FORECAST_PARTS | {
+    "w_folded": _folded_sql(f"SELECT {_given}"),
+    "w_grid": _folded_sql("SELECT a, b, g FROM " + ", ".join(f"(VALUES {_levels}) v{c}({c})" for c in "abg"))
+    + " WHERE n = (SELECT n FROM w_len)",
+    "w_closed_future": FORECAST_PARTS["w_future"],
+    "w_closed_backtest": FORECAST_PARTS["w_backtest"],
+    "w_future": """SELECT * FROM w_closed_future UNION ALL
+      SELECT 'holt_winters_log', CAST(m + to_months((s + 1)::INTEGER) AS DATE), (s + 1)::INTEGER, exp(level + trend * (s + 1) + season[1 + s % 12])
+      FROM w_steps JOIN w_folded USING (n)""",
+    "w_backtest": """SELECT * FROM w_closed_backtest UNION ALL
+      SELECT 'holt_winters_log', f.month_start, y.month_start, (s + 1)::INTEGER, y.net_sales_value, exp(level + trend * (s + 1) + season[1 + s % 12]), h
+      FROM w_steps JOIN w_drift ON o >= h JOIN w_folded k ON k.n = w_steps.n - o JOIN w_series y ON y.i = w_steps.n - o + s
+      JOIN w_series f ON f.i = w_steps.n - o""",
+}
+
+
+def _smoothed(key, build, sql, **kw):
+    """Register a query whose smoothing weights come from the stored table; ``build`` gets models and weights."""
+    register(f"{key}_stored_weights", lambda w: build(w, (_ALL, _stored_smoothing(w))), sql, parts=SMOOTHED_PARTS, **kw)
+
+
+_smoothed("N04_holt_winters_log",
+          lambda w, m: forecasting.forecast(_series(w), FORECAST_END, [forecasting.SMOOTH], weights=m[1]),
+          "SELECT * FROM w_future WHERE model = 'holt_winters_log'", rounded=["forecast_net_sales_usd"], digits=3)
+_smoothed("N05_backtest_all_models", lambda w, m: _backtest(w, *m), "SELECT * FROM w_detail",
+          rounded=["predicted", "absolute_percentage_error"], digits=3)
+_smoothed("N06_forecast_accuracy_all_models", lambda w, m: forecasting.forecast_accuracy(_backtest(w, *m)), "SELECT * FROM w_accuracy",
+          rounded=_errors)
+_smoothed("N07_forecast_monthly_all_models", lambda w, m: _monthly(w, *m), "SELECT * FROM w_best", rounded=["forecast_net_sales_usd"], digits=3)
+_smoothed("N08_forecast_scenarios_all_models", lambda w, m: forecasting.forecast_scenarios(_monthly(w, *m), _series(w)),
+          "SELECT * FROM w_scenarios", rounded=["forecast_net_sales_usd", "forecast_net_profit_usd", "assumed_margin_rate"], digits=3)
+_smoothed("N09_forecast_country_month_all_models", lambda w, m: _countries(w, _monthly(w, *m)), "SELECT * FROM w_split",
+          rounded=["forecast_net_sales_usd", "allocation_share"], digits=3)
+_smoothed("N10_forecast_vs_plan_all_models", lambda w, m: _outlook(w, *m), "SELECT * FROM w_outlook",
+          rounded=["forecast_net_sales_usd", "expected_net_sales_usd", "gap_to_plan_usd", "expected_achievement_rate"], digits=3)
+_smoothed("N11_horizon_decay_all_models", lambda w, m: forecasting.horizon_decay(_backtest(w, *m)), _DECAY)
+_smoothed("N12_allocation_tie_all_models",
+          lambda w, m: forecasting.allocation_tie(_monthly(w, *m), _countries(w, _monthly(w, *m))), _TIE, rounded=["delta"], digits=4)
+_smoothed("N13_landing_achievement_all_models", lambda w, m: forecasting.landing_achievement(_outlook(w, *m)), _LANDING,
+          rounded=["expected_full_period", "plan_full_period", "achievement"], digits=3)
+_smoothed("N14_alt_errors_all_models", lambda w, m: forecasting.alt_errors(_backtest(w, *m)), _ALT, rounded=["smape", "rmse_pct", "median_ape"])
+register("N04_weight_grid_errors", lambda w: forecasting.smoothing_error(_series(w), _weight_grid(w)),
+         "SELECT a AS alpha, b AS beta, g AS gamma, n::INTEGER AS months, error AS squared_error FROM w_grid",
+         parts=SMOOTHED_PARTS, rounded=["squared_error"])
+register("N04_fit_certificate", _fit_certificate,
+         "SELECT MAX(n)::INTEGER AS months, MIN(error) AS grid_error, TRUE AS fit_not_worse FROM w_grid",
+         parts=SMOOTHED_PARTS, rounded=["grid_error"])

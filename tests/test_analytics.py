@@ -371,3 +371,41 @@ def test_default_numbers_of_starts():
 
     asked = {f: inspect.signature(getattr(segmentation, f)).parameters["restarts"].default for f in ("rfm_k_diagnostics", "rfm_segment", "rfm_variant")}
     assert asked == {"rfm_k_diagnostics": 20, "rfm_segment": 30, "rfm_variant": 20}
+
+
+def test_smoothing_fold_matches_a_loop(spark):
+    rng = np.random.default_rng(5)
+    values = [1000 * 1.01**i * (1 + 0.3 * np.sin(2 * np.pi * i / 12)) * rng.uniform(0.9, 1.1) for i in range(41)]
+    df, months = series(spark, values)
+    other = df.withColumn("net_sales_value", F.col("net_sales_value") * 3 + 50)
+    both = df.withColumn("k", F.lit("a")).unionByName(other.withColumn("k", F.lit("b")))
+    sets = {"a": (0.2, 0.02, 0.3), "b": (0.7, 0.4, 0.1)}
+    weights = spark.createDataFrame([(k, *v) for k, v in sets.items()], "k string, alpha double, beta double, gamma double")
+    got = forecasting.forecast(both, later(months[-1], 14), [forecasting.SMOOTH], ["k"], weights=weights)
+    made = {(r.k, r.step): r.forecast_net_sales_usd for r in got.collect()}
+
+    def walk(x, a, b, g):
+        y = np.log(np.maximum(np.array(x), 1.0))
+        m, t = y[:12].mean(), (y[12:24].mean() - y[:12].mean()) / 12
+        level, trend, season, error = m - t * 6.5, t, [y[i] - m - t * (i - 5.5) for i in range(12)], 0.0
+        for i, v in enumerate(y):
+            s = season[i % 12]
+            error += (v - level - trend - s) ** 2
+            now = a * (v - s) + (1 - a) * (level + trend)
+            trend, level = b * (now - level) + (1 - b) * trend, now
+            season[i % 12] = g * (v - level) + (1 - g) * s
+        return [float(np.exp(level + trend * k + season[(len(y) + k - 1) % 12])) for k in range(1, 15)], error
+
+    for k, x in (("a", values), ("b", [3 * v + 50 for v in values])):
+        path, error = walk(x, *sets[k])
+        assert [made[(k, i + 1)] for i in range(14)] == pytest.approx(path, rel=1e-9)
+        r = forecasting.smoothing_error(both, weights, ["k"]).filter(F.col("k") == k).first()
+        assert (r.months, r.squared_error) == (41, pytest.approx(error, rel=1e-9))
+    # weights kept from a fit give the forecast of the fit, and no candidate is better
+    kept = forecasting.smoothing_weights(df)
+    fit = forecasting.forecast(df, later(months[-1], 6), [forecasting.SMOOTH]).orderBy("step").collect()
+    again = forecasting.forecast(df, later(months[-1], 6), [forecasting.SMOOTH], weights=kept).orderBy("step").collect()
+    assert [r.forecast_net_sales_usd for r in again] == pytest.approx([r.forecast_net_sales_usd for r in fit])
+    few = spark.createDataFrame([(a, b, g) for a in (0.1, 0.5) for b in (0.1, 0.5) for g in (0.1, 0.5)], "alpha double, beta double, gamma double")
+    best = forecasting.smoothing_error(df, kept).first().squared_error
+    assert best <= min(r.squared_error for r in forecasting.smoothing_error(df, few).collect())
