@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..plans.session import checkpoint_folder
 from ..plans.warehouse import SOURCES, Warehouse
+from . import quoted
 from .schemas import schema
 
 # Source tables whose texts people type, so that a field may hold a line break.
@@ -82,16 +83,16 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 
     The header is checked against the contract, and a line with too few or too many
     fields fails the job. Quoted line breaks are allowed in the tables of
-    ``MULTI_LINE``; a file of these is read by one task, so a large one is better
-    delivered as a folder of many files. All other files are split.
+    ``MULTI_LINE``, whose records are found by counting quotes; large files are split.
     """
+    if table in MULTI_LINE:
+        return quoted.read(spark, path, schema(table))
     return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("nullValue", "")
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", table in MULTI_LINE)
         .option("mode", "FAILFAST")
         .option("columnPruning", False)
         .schema(schema(table))

@@ -1,16 +1,19 @@
 """CSV contract, exports and table materialisation."""
 
+import csv
 import glob
 import json
 import os
+import random
 import subprocess
 import sys
 
 import pytest
+from pyspark.sql import types as T
 
 from ledgerline.plans.driver_tables import bind
 from ledgerline.plans.session import checkpoint_folder
-from ledgerline.sources import files, schemas
+from ledgerline.sources import files, quoted, schemas
 
 
 def write_sources(tmp_path, skip=()):
@@ -163,3 +166,52 @@ def test_python_parts_run_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+QUOTED = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "a", "b")])
+
+
+@pytest.fixture
+def small_splits(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_quoted_breaks_across_splits(spark, tmp_path, small_splits, ending):
+    rng = random.Random(3)
+    rows = [(str(i), *("".join(rng.choice(["a", "bc", '"', ",", ending, " ", "é"]) for _ in range(rng.randint(0, 7))) for _ in "ab")) for i in range(600)]
+    rows[300] = ("300", ("long" + ending) * 900, '"')  # one record over several splits
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for k in (0, 1):  # a folder of two files, each with its header
+        with open(folder / f"{k}.csv", "w", encoding="utf-8", newline="") as f:
+            writer = csv.writer(f, lineterminator=ending)
+            writer.writerow(["id", "a", "b"])
+            writer.writerows(rows[k::2])
+    assert quoted._split_starts(quoted._lines(spark, str(folder))).count() > 12
+    made = sorted(tuple(r) for r in quoted.read(spark, str(folder), QUOTED).collect())
+    single = spark.read.options(header=True, enforceSchema=False, nullValue="", quote='"', escape='"', multiLine=True, mode="FAILFAST")
+    assert made == sorted(tuple(r) for r in single.schema(QUOTED).csv(str(folder)).collect())
+    assert made == sorted((i, a.replace(ending, "\n") or None, b.replace(ending, "\n") or None) for i, a, b in rows)
+
+
+@pytest.mark.parametrize("text, message", [
+    ("id,a,b\n1,2,3\n4,5\n", "MALFORMED_RECORD"),
+    ("id,a,b\n1,2,3,4\n", "MALFORMED_RECORD"),
+    ('id,a,b\n1,2,"3\n4,5,6\n', "not closed"),
+    ("id,b,a\n1,2,3\n", "header does not conform"),
+])
+def test_quoted_files_that_break_the_contract(spark, tmp_path, text, message):
+    (tmp_path / "x.csv").write_text(text)
+    with pytest.raises(Exception, match=message):
+        quoted.read(spark, str(tmp_path / "x.csv"), QUOTED).select("id").collect()
+
+
+def test_quoted_file_without_rows(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('"id",A,b\n\n  \n')
+    assert quoted.read(spark, str(tmp_path / "x.csv"), QUOTED).collect() == []
