@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.measures import money_sum, ratio
 from .facts import attach
@@ -13,25 +14,77 @@ UNIQUE, REPEATED = "unique at this grain", "NOT unique - a join on these keys wi
 TIES, OPEN = "ties", "DOES NOT TIE"
 
 
-def columns(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Type, NULLs, distinct values and smallest text of every column in one aggregate.
+def _identity(field: T.StructField) -> Column:
+    """Text that is equal exactly where two values of the column are."""
+    c, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")  # local times repeat when clocks go back
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (c + F.lit(0.0).cast(kind)).cast("string")  # no negative zero
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.when(c.isNotNull(), F.to_json(F.struct(c)))
+    return c.cast("string")
+
+
+def _exact_stats(df: DataFrame) -> DataFrame:
+    """One row of totals: rows are reduced to counts per column and value, and those are counted.
 
-    ``approx`` replaces the exact distinct counts, which expand each row once per
-    column, by sketches.
+    The last step has no key, so that texts are compared without a sort.
     """
-    count = F.approx_count_distinct if approx else F.countDistinct
-    stats = df.agg(
+    fields = list(enumerate(df.schema.fields))
+    plain = (T.StringType, T.FloatType, T.DoubleType, T.IntegralType, T.DecimalType, T.DateType, T.BooleanType)
+    cells = [
+        F.struct(
+            F.lit(i).alias("i"),
+            _identity(f).alias("k"),
+            (F.lit(None) if isinstance(f.dataType, plain) else F.col(f"`{f.name}`")).cast("string").alias("e"),
+        )
+        for i, f in fields
+    ]
+    found = df.select(F.inline(F.array(*cells))).groupBy("i", "k", "e").agg(F.count("*").alias("n"))
+    known = F.col("k").isNotNull()
+
+    def of(i: int, value: Column) -> Column:
+        return F.when((F.col("i") == i) & known, value)
+
+    return found.agg(
+        F.coalesce(F.sum(F.when(F.col("i") == 0, F.col("n"))), F.lit(0)).alias("_rows"),
+        *[
+            x
+            for i, _ in fields
+            for x in (
+                F.coalesce(F.sum(of(i, F.col("n"))), F.lit(0)).alias(f"_n{i}"),
+                F.count(of(i, F.lit(1))).alias(f"_d{i}"),
+                F.min(of(i, F.coalesce("e", "k"))).alias(f"_e{i}"),
+            )
+        ],
+    )
+
+
+def _sketched_stats(df: DataFrame) -> DataFrame:
+    return df.agg(
         F.count("*").alias("_rows"),
         *[
             x
             for i, c in enumerate(df.columns)
             for x in (
                 F.count(f"`{c}`").alias(f"_n{i}"),
-                count(f"`{c}`").alias(f"_d{i}"),
+                F.approx_count_distinct(f"`{c}`").alias(f"_d{i}"),
                 F.min(F.col(f"`{c}`").cast("string")).alias(f"_e{i}"),
             )
         ],
     )
+
+
+def columns(df: DataFrame, approx: bool = False) -> DataFrame:
+    """Type, NULLs, distinct values and smallest text of every column, from one scan.
+
+    ``approx`` takes the distinct counts from sketches, and nothing is shuffled
+    but one row per task.
+    """
+    stats = _sketched_stats(df) if approx else _exact_stats(df)
     lines = [
         F.struct(
             F.lit(i).alias("position"),

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import staging
+from ..operators import gates, staging
 from ..sources import files
 from ..sources.schemas import COLUMNS
+from .queries_quality import GATES, PARTS
 from .registry import register
 from .session import checkpoint_folder
 from .warehouse import SOURCES, Warehouse
@@ -39,7 +41,7 @@ def _contract(w: Warehouse) -> DataFrame:
         files.write_csv(_as_text(w, table), f"{folder}/{table}.csv")
     spark = w.raw["orders"].sparkSession
     read = files.open_warehouse(spark, folder).raw
-    counted = [read[t].agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for t in ("orders", "order_items", "events", "products")]
+    counted = [read[t].agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for t in SOURCES]
     out = counted[0]
     for one in counted[1:]:
         out = out.unionByName(one)
@@ -65,10 +67,11 @@ def _exported(w: Warehouse) -> DataFrame:
 
 
 def _metadata(w: Warehouse) -> DataFrame:
+    start = time.monotonic()
     folder, spark = _folder(w), w.raw["orders"].sparkSession
     counts = files.export_tables(w, folder, EXPORTED, formats=("parquet",))
-    status = w.stg_orders.groupBy(F.col("order_status").alias("status")).agg(F.count(F.lit(1)).alias("checks"))
-    files.run_metadata(spark, f"{folder}/run", counts, status, 0.0)
+    status = gates.gate_status(w.raw_test_results, w.test_results, w.plan_validation)
+    files.run_metadata(spark, f"{folder}/run", counts, status, time.monotonic() - start)
     record = spark.read.text(f"{folder}/run").select(
         F.from_json("value", "tables array<struct<table: string, rows: bigint>>, qa_status map<string, bigint>").alias("r")
     )
@@ -76,12 +79,13 @@ def _metadata(w: Warehouse) -> DataFrame:
     return tables.unionByName(record.select(F.explode("r.qa_status").alias("name", "n")))
 
 
+_SOURCE_PARTS = ("w_users", "w_products", "w_orders", "w_lines", "w_events", "w_stock", "w_centers", "w_master", "w_fx", "w_plan_raw")
+
 register("A01_csv_scan", lambda w: staging.stage_products(_through_csv(w, "products")), "SELECT * FROM w_products", doubles=["unit_cost", "retail_price"])
 register("A02_file_contract", _contract,
-         """SELECT 'orders' AS table_name, COUNT(*) AS n_rows FROM w_orders UNION ALL SELECT 'order_items', COUNT(*) FROM w_lines
-            UNION ALL SELECT 'events', COUNT(*) FROM w_events UNION ALL SELECT 'products', COUNT(*) FROM w_products""")
+         " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {part}" for t, part in zip(SOURCES, _SOURCE_PARTS)))
 register("A03_csv_sink", lambda w: staging.stage_orders(_through_csv(w, "orders")), "SELECT * FROM w_orders")
 register("A04_parquet_sink", _parquet, "SELECT * FROM w_orders")
 register("A05_dual_export", _exported, f"SELECT table_name, n_rows, n_rows AS csv_rows FROM ({_COUNTS})")
 register("A06_run_metadata", _metadata,
-         f"SELECT table_name AS name, n_rows AS n FROM ({_COUNTS}) UNION ALL SELECT order_status, COUNT(*) FROM w_orders GROUP BY 1")
+         f"SELECT table_name AS name, n_rows AS n FROM ({_COUNTS}) UNION ALL SELECT status, COUNT(*) FROM ({GATES}) GROUP BY 1", parts=PARTS)

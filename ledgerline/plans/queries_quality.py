@@ -183,20 +183,20 @@ register(
     "SELECT * FROM w_model_gate WHERE status = 'FAIL' UNION ALL SELECT * FROM w_raw_gate WHERE status = 'FAIL'",
     parts=PARTS,
 )
-_GATES = "SELECT 'source' AS g, status FROM w_raw_gate UNION ALL SELECT 'warehouse', status FROM w_model_gate UNION ALL SELECT 'commercial', status FROM w_commercial_gate"
+GATES = "SELECT 'source' AS g, status FROM w_raw_gate UNION ALL SELECT 'warehouse', status FROM w_model_gate UNION ALL SELECT 'commercial', status FROM w_commercial_gate"
 register(
     "K12_final_backstop",
     lambda w: gates.final_report(
         {"source": w.raw_test_results, "warehouse": w.test_results, "commercial": w.plan_validation}
     ),
     f"""SELECT g AS subject, COUNT(*) FILTER (status = 'FAIL') AS errors,
-         CASE WHEN COUNT(*) FILTER (status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({_GATES}) GROUP BY g""",
+         CASE WHEN COUNT(*) FILTER (status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({GATES}) GROUP BY g""",
     parts=PARTS,
 )
 register(
     "K13_gate_status",
     lambda w: gates.gate_status(w.raw_test_results, w.test_results, w.plan_validation),
-    f"SELECT status, COUNT(*) AS checks FROM ({_GATES}) GROUP BY status",
+    f"SELECT status, COUNT(*) AS checks FROM ({GATES}) GROUP BY status",
     parts=PARTS,
 )
 

@@ -409,3 +409,17 @@ def test_smoothing_fold_matches_a_loop(spark):
     few = spark.createDataFrame([(a, b, g) for a in (0.1, 0.5) for b in (0.1, 0.5) for g in (0.1, 0.5)], "alpha double, beta double, gamma double")
     best = forecasting.smoothing_error(df, kept).first().squared_error
     assert best <= min(r.squared_error for r in forecasting.smoothing_error(df, few).collect())
+
+
+def test_column_profile_counts_values_exactly(spark):
+    rows = [(1, 0.0, "a", dt.datetime(2024, 10, 27, 1, 30), [1, 2], b"\x01"), (1, -0.0, "a", dt.datetime(2024, 10, 27, 1, 30), [1, 2], b"\x01"),
+            (2, float("nan"), None, None, None, None), (2, float("nan"), "", dt.datetime(2024, 1, 1), [12], b"\x02"), (None, None, "b", None, [], b"\x02")]
+    df = spark.createDataFrame(rows, "k int, d double, s string, t timestamp, l array<int>, x binary").withColumnRenamed("s", "s.x")
+    made = {r["column"]: r for r in profiling.columns(df).collect()}
+    assert {c: (r["rows"], r["nulls"], r["distinct"]) for c, r in made.items()} == {
+        "k": (5, 1, 2), "d": (5, 1, 2), "s.x": (5, 1, 3), "t": (5, 2, 2), "l": (5, 1, 3), "x": (5, 1, 2)}
+    assert (made["k"]["example"], made["s.x"]["example"], made["t"]["example"]) == ("1", "", "2024-01-01 00:00:00")
+    plan = profiling.columns(df)._jdf.queryExecution().toString()
+    assert "Expand" not in plan and "Sort [" not in plan
+    empty = profiling.columns(df.filter("k > 9")).collect()
+    assert [(r["rows"], r["nulls"], r["distinct"], r["null_pct"], r["example"]) for r in empty] == [(0, 0, 0, 0.0, None)] * 6
