@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,12 +120,14 @@ def reject_listing(rejects: DataFrame) -> DataFrame:
     )
 
 
-def funnel_pivot(funnel: DataFrame) -> DataFrame:
-    """Stages by channel, a column for every channel there is.
+def funnel_pivot(funnel: DataFrame, channels: Sequence[str] | None = None) -> DataFrame:
+    """Stages by channel, a column for every channel there is, or for those given, 0 where one has no rows.
 
-    Raises above ``spark.sql.pivotMaxValues`` channels.
+    Without a list the channels are looked up first; raises above
+    ``spark.sql.pivotMaxValues`` of them.
     """
-    wide = funnel.groupBy("stage_order", "stage").pivot("traffic_source").agg(F.sum("stage_sessions"))
+    known = list(channels) if channels is not None else None
+    wide = funnel.groupBy("stage_order", "stage").pivot("traffic_source", known).agg(F.sum("stage_sessions"))
     return wide.na.fill(0).orderBy("stage_order")
 
 

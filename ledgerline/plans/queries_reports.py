@@ -264,8 +264,8 @@ _report("R08_statement_listing", lambda w: reporting.statement_listing(w.reconci
         f"SELECT * EXCLUDE value_delta FROM ({STATEMENT_SQL})")
 _report("R08_reject_listing", lambda w: reporting.reject_listing(w.plan_rejects),
         "SELECT submitted_country, plan_month, currency_code, reject_reason FROM w_rejects")
-_report("R09_funnel_pivot", lambda w: reporting.funnel_pivot(w.funnel_stage_channel),
-        f"""SELECT k AS stage_order, s AS stage, {", ".join(f"CAST(SUM(reached) FILTER (traffic_source = '{c}') AS BIGINT) AS \"{c}\"" for c in CHANNELS)}
+_report("R09_funnel_pivot", lambda w: reporting.funnel_pivot(w.funnel_stage_channel, CHANNELS),
+        f"""SELECT k AS stage_order, s AS stage, {", ".join(f"CAST(COALESCE(SUM(reached) FILTER (traffic_source = '{c}'), 0) AS BIGINT) AS \"{c}\"" for c in CHANNELS)}
            FROM (SELECT k, s, traffic_source, CASE k WHEN 1 THEN 1 WHEN 2 THEN product_view_flag WHEN 3 THEN cart_flag ELSE purchase_flag END AS reached
              FROM w_visits, (VALUES (1, 'Sessions'), (2, 'Product Viewed'), (3, 'Cart Reached'), (4, 'Purchase')) v(k, s)) GROUP BY 1, 2""")
 _report("R10_category_margin", lambda w: reporting.category_margin(w.product_performance_category),

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import acquisition, dimensions, facts, gates, planning, revenue, staging
+from ledgerline.operators import acquisition, dimensions, facts, gates, planning, reporting, revenue, staging
 
 T, D = dt.datetime, dt.date
 
@@ -249,3 +249,13 @@ def test_mixed_session_fails_gate(spark):
     from ledgerline.operators.profiling import session_audit
     r = session_audit(df).first()
     assert (r.derived_sessions, r.sessions_with_multiple_users, r.sessions_with_multiple_browsers) == (2, 1, 0)
+
+
+def test_funnel_pivot_with_and_without_a_channel_list(spark):
+    funnel = spark.createDataFrame([(1, "Sessions", "Email", 5), (1, "Sessions", "Search", 7), (2, "Purchase", "Search", 2)],
+                                   "stage_order int, stage string, traffic_source string, stage_sessions long")
+    assert [r.asDict() for r in reporting.funnel_pivot(funnel).collect()] == [
+        {"stage_order": 1, "stage": "Sessions", "Email": 5, "Search": 7}, {"stage_order": 2, "stage": "Purchase", "Email": 0, "Search": 2}]
+    given = reporting.funnel_pivot(funnel, ["Search", "Display"]).collect()
+    assert [r.asDict() for r in given] == [
+        {"stage_order": 1, "stage": "Sessions", "Search": 7, "Display": 0}, {"stage_order": 2, "stage": "Purchase", "Search": 2, "Display": 0}]
