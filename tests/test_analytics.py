@@ -314,6 +314,39 @@ def test_weights_score_as_the_model_and_are_its_optimum(spark, scaler):
     assert all(v == 0 for k, v in fitted.items() if k not in names)
 
 
+def test_gradient_takes_class_sizes_without_a_join(spark):
+    df = spark.createDataFrame([("a", 1.0, 1), ("a", 2.0, 0), ("b", 3.0, 0), ("b", 1.0, None)], "kind string, x double, y int")
+    rows = [("kind", "a", 0.3, None, None), ("x", None, 0.2, 1.0, 2.0), (propensity.INTERCEPT, None, 0.1, None, None)]
+    weights = spark.createDataFrame(rows, propensity.WEIGHTS)
+    made = propensity.penalised_gradient(df, weights, "y", ("kind",), ("x",))
+    # a join on the label would bring all rows of a class into one task
+    assert "Join Inner" not in made._jdf.queryExecution().optimizedPlan().toString()
+    p = [1 / (1 + math.exp(-(0.1 + k + 0.2 * (x - 1) / 2))) for k, x in ((0.3, 1), (0.3, 2), (0, 3))]
+    # three classes by count, the null one without a share
+    res = [(p[0] - 1) / 3, p[1] / 6, p[2] / 6]
+    want = {"kind": res[0] + res[1] + 0.3 / 4, "x": res[1] / 2 + res[2] + 0.2 / 4, propensity.INTERCEPT: sum(res)}
+    assert {r.name: r.gradient for r in made.collect()} == pytest.approx(want)
+
+
+@pytest.mark.parametrize("of, label", [("_dated", "propensity-features"), ("_variant_split", "variant-features")])
+def test_a_fit_reads_features_from_files(warehouse, of, label):
+    for part in getattr(queries_analytics, of)(warehouse):
+        assert any(label in f for f in part.inputFiles())
+
+
+def test_nearest_centre_of_many_is_the_first_of_the_nearest(spark):
+    rng = np.random.default_rng(5)
+    for k in (1, 2, 7):
+        x, c = np.round(rng.normal(size=(500, 3)), 1), np.round(rng.normal(size=(k, 3)), 1)
+        far = ((x[:, None, :] - c[None]) ** 2).sum(axis=2)
+        near, best = segmentation._nearest(np.ascontiguousarray(x.T), c)
+        assert (near == far.argmin(axis=1)).all() and (best == far.min(axis=1)).all()
+
+
+def test_rfm_axes_are_read_from_files(warehouse):
+    assert all("rfm-logged" in f for f in segmentation.rfm_features(warehouse.customer_360).inputFiles())
+
+
 def test_horizon_errors_of_all_models_match_brute_force(spark, monkeypatch):
     df, months = series(spark, [100 + 10 * (i % 12) + i for i in range(28)])
     monkeypatch.setattr(queries_analytics, "_series", lambda w: df)
