@@ -107,10 +107,14 @@ def open_warehouse(spark: SparkSession, folder: str, comparisons=()) -> Warehous
     return Warehouse(raw, comparisons)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """RFC 4180 with a header; blanks around a value are kept, NULL is an empty field."""
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """RFC 4180 with a header; blanks around a value are kept, NULL is an empty field.
+
+    A compressed file is read by one task; ``read_csv`` finds the codec by the file names.
+    """
     (
         df.write.mode("overwrite")
+        .option("compression", compression)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')

@@ -141,6 +141,17 @@ def test_csv_is_rfc_4180(spark, tmp_path):
         files.read_csv(spark, f"{folder}/products.csv", "products").select("id").collect()
 
 
+def test_compressed_csv_reads_the_same(spark, tmp_path):
+    rows = [("1", 'a "b", c', " x ", None, *[""] * 5)]
+    columns = schemas.COLUMNS["orders"].split()
+    df = spark.createDataFrame([r[: len(columns)] for r in rows], ", ".join(f"{c} STRING" for c in columns))
+    for codec in ("none", "gzip"):
+        files.write_csv(df, str(tmp_path / codec), codec)
+    assert glob.glob(f"{tmp_path}/gzip/*.csv.gz") and not glob.glob(f"{tmp_path}/none/*.gz")
+    plain, packed = (files.read_csv(spark, str(tmp_path / codec), "orders").collect() for codec in ("none", "gzip"))
+    assert plain == packed and packed[0][1:4] == ('a "b", c', " x ", None)
+
+
 def test_use_drops_plans_on_the_old_table(spark, tmp_path):
     w = bind(spark, "/root/testdata/sf0.001")
     w = type(w)(dict(w.raw), w.comparisons)
