@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import gates, staging
 from ..sources import files
 from ..sources.schemas import COLUMNS
-from .queries_quality import GATES, PARTS
+from .queries_quality import GATES, PARTS, every_gate
 from .registry import register
 from .session import checkpoint_folder
 from .warehouse import SOURCES, Warehouse
@@ -72,7 +72,7 @@ def _metadata(w: Warehouse) -> DataFrame:
     start = time.monotonic()
     folder, spark = _folder(w), w.raw["orders"].sparkSession
     counts = files.export_tables(w, folder, EXPORTED, formats=("parquet",))
-    status = gates.gate_status(w.raw_test_results, w.test_results, w.plan_validation)
+    status = gates.gate_status(*every_gate(w))
     files.run_metadata(spark, f"{folder}/run", counts, status, time.monotonic() - start)
     record = spark.read.text(f"{folder}/run").select(
         F.from_json("value", "tables array<struct<table: string, rows: bigint>>, qa_status map<string, bigint>").alias("r")
