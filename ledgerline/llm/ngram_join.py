@@ -32,11 +32,14 @@ FRAGMENTS, HOT_FRAGMENTS = 16, 4
 COUNTED = int(0.375 * 2**64)
 # n-grams in this many texts or more go behind all others; so many at most, the most frequent ones.
 OFTEN, MOST_OFTEN = 32, 1 << 20
-# Up to so many classes under one n-gram are compared pair by pair; of more, two blocks of CELL in one task.
-BUCKET, CELL = 8, 64
+# Up to so many classes under one n-gram are compared pair by pair; more are packed into blocks of about CELL, of which
+# two at a time are compared, STRIP ids of one against all of the other.
+BUCKET, CELL, STRIP = 8, 1024, 32
 PROBES, BEST_ROUNDS = 8, 2
 # Counters that bound the overlap of two sets from above; blocks compare coarse ones first, each the sum of several.
 COUNTERS, COARSE = 512, 128
+# Words whose hashes a task keeps.
+KNOWN_WORDS = 1 << 17
 # Slots of the filter for the rows whose sets are fetched.
 SLOTS = 1 << 26
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -78,7 +81,7 @@ class WordHashes(dict):
     """XXH64 of words, kept for the next text; forgotten when too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 20:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word, 42)
         return value
@@ -322,56 +325,70 @@ def _best_pairs(pairs: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.max_by("a", "room").alias("a"), F.max_by("b", "room").alias("b")).select("a", "b").distinct()
 
 
-def _main_colours(rows: DataFrame) -> DataFrame:
-    """(gram, main): the component that most of the ids under the n-gram are of."""
-    colours = rows.groupBy("gram", "colour").agg(F.count(F.lit(1)).alias("c"))
-    return colours.groupBy("gram").agg(F.max_by("colour", "c").alias("main"), F.max("c").alias("most"), F.sum("c").alias("all"))
-
-
-def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of ids of different components under n-grams of many that the coarse counters cannot tell apart.
+def _blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(gram, i, blocks, ids, colours, sizes, places, counters, lone): the ids under each n-gram in blocks of about ``CELL``.
 
-    Under each n-gram every id that is not of the main component meets all ids.
-    Both sides are dealt into blocks, so a task compares two blocks of about
-    ``CELL`` ids at a time.
+    A block is one row: an array of each value, and the coarse counters end to end.
+    ``blocks`` is how many the n-gram has, ``lone`` whether the block holds ids outside
+    the n-gram's main component, the one that most of its ids are of.
     """
-    blocks = lambda n: F.ceil(n / CELL).cast("int")
-    dealt = rows.join(_main_colours(rows).select("gram", "main", blocks(F.col("all")).alias("all"), blocks(F.col("all") - F.col("most")).alias("few")), "gram")
-    block = lambda of: F.pmod(F.xxhash64("gram", "id"), F.col(of)).cast("int")
-    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    own = ["gram", "id", "colour", "n", "pos"]
-    left = dealt.where(F.col("colour") != F.col("main")).select(*own, F.lit(True).alias("left"), block("few").alias("i"), every("all").alias("j"))
-    right = dealt.select(*own, F.lit(False).alias("left"), every("few").alias("i"), block("all").alias("j"))
+    colours = rows.groupBy("gram", "colour").agg(F.count(F.lit(1)).alias("c"))
+    main = colours.groupBy("gram").agg(F.max_by("colour", "c").alias("main"), F.ceil(F.sum("c") / CELL).cast("int").alias("blocks"))
 
     def fold():
         return lambda fine: [pa.array([r.tobytes() for r in _coarse(np.frombuffer(b"".join(fine.to_pylist()), np.uint8).reshape(-1, COUNTERS))], pa.binary())]
 
     crowd = sets.join(rows.select("id").distinct(), "id").select("id", "counters")
-    held = left.unionByName(right).join(apply_arrow(crowd, ["counters"], "counters binary", fold), "id")
+    held = rows.join(main, "gram").join(apply_arrow(crowd, ["counters"], "counters binary", fold), "id")
     member = F.struct("id", "colour", "n", "pos", "counters")
-    cells = held.groupBy("gram", "i", "j").agg(F.collect_list(F.when(F.col("left"), member)).alias("x"), F.collect_list(F.when(~F.col("left"), member)).alias("y"))
+    packed = held.groupBy("gram", "blocks", F.pmod(F.xxhash64("gram", "id"), F.col("blocks")).cast("int").alias("i")).agg(
+        F.collect_list(member).alias("m"), F.max(F.col("colour") != F.col("main")).alias("lone")
+    )
+    part = lambda name: F.col("m").getField(name)
+    return packed.select(
+        "gram", "i", "blocks", "lone", part("id").alias("ids"), part("colour").alias("colours"),
+        part("n").alias("sizes"), part("pos").alias("places"), part("counters").alias("counters"),
+    )
+
+
+def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ids of different components under n-grams of many that the coarse counters cannot tell apart.
+
+    Under each n-gram every block meets itself and the blocks up to half way round,
+    so that any two meet; not two blocks of the main component alone. Rows grow with
+    the blocks, not with the ids, times the blocks; a task holds two at a time.
+    """
+    blocks = stored(_blocks(rows, sets), "blocks")
+    values = ("ids", "colours", "sizes", "places", "counters")
+    side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in values]
+    steps = F.sequence(F.lit(0), F.floor(F.col("blocks") / 2).cast("int"))
+    left = blocks.select("gram", "lone", F.explode(F.transform(steps, lambda d: F.pmod(F.col("i") + d, F.col("blocks")))).alias("j"), *side("x"))
+    right = blocks.select("gram", F.col("i").alias("j"), F.col("lone").alias("other"), *side("y"))
+    met = left.join(right, ["gram", "j"]).where("lone OR other")
 
     def compare(batches):
+        flat = lambda column, k: column[k].values.to_numpy(zero_copy_only=False)
         for batch in batches:
             found = [np.zeros((2, 0), np.int64)]
-            for x, y in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
-                if not x or not y:
-                    continue
+            for k in range(batch.num_rows):
                 (ix, cx, nx, px, bx), (iy, cy, ny, py, by) = (
-                    [np.array([m[k] for m in side], np.int64) for k in ("id", "colour", "n", "pos")]
-                    + [np.frombuffer(b"".join(m["counters"] for m in side), np.uint8).reshape(-1, COARSE)]
-                    for side in (x, y)
+                    [flat(batch.column(at + v), k) for v in range(4)]
+                    + [np.frombuffer(b"".join(batch.column(at + 4)[k].as_py()), np.uint8).reshape(-1, COARSE)]
+                    for at in (0, 5)
                 )
-                both = nx[:, None] + ny[None, :]
-                rest = np.minimum((nx - px)[:, None], (ny - py)[None, :])
-                fits = (cx[:, None] != cy[None, :]) & ((100 + percent) * rest >= percent * both)
-                fits &= 100 * np.minimum(nx[:, None], ny[None, :]) >= percent * np.maximum(nx[:, None], ny[None, :])
-                i, j = np.nonzero(fits)
-                near = room(bx[i], by[j], nx[i], ny[j], percent) >= 0
-                found.append(np.stack((np.maximum(ix[i], iy[j]), np.minimum(ix[i], iy[j])))[:, near])
+                for s in range(0, len(ix), STRIP):
+                    own = slice(s, s + STRIP)
+                    both = nx[own, None] + ny[None, :]
+                    rest = np.minimum((nx - px)[own, None], (ny - py)[None, :])
+                    fits = (cx[own, None] != cy[None, :]) & ((100 + percent) * rest >= percent * both)
+                    fits &= 100 * np.minimum(nx[own, None], ny[None, :]) >= percent * np.maximum(nx[own, None], ny[None, :])
+                    i, j = np.nonzero(fits)
+                    i += s
+                    near = room(bx[i], by[j], nx[i], ny[j], percent) >= 0
+                    found.append(np.stack((np.maximum(ix[i], iy[j]), np.minimum(ix[i], iy[j])))[:, near])
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found, axis=1)], names=["a", "b"])
 
-    return cells.select("x", "y").mapInArrow(compare, "a bigint, b bigint").distinct()
+    return met.select(*[f"{s}_{c}" for s in "xy" for c in values]).mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def similarity_links(

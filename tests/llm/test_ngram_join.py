@@ -71,12 +71,46 @@ def test_crowds_match_all_pairs(spark, crowded, monkeypatch, bucket):
     assert run(spark, crowded) == expected
 
 
+def made_rows(node):
+    """Rows that the executed plan's Generate nodes made."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return made_rows(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return made_rows(node.plan())
+    own = node.metrics().apply("numOutputRows").value() if kind == "GenerateExec" else 0
+    return own + sum(made_rows(node.children().apply(k)) for k in range(node.children().size()))
+
+
+def test_blocks_of_a_crowd_are_not_copied_per_id(spark):
+    n, rng = 300, np.random.default_rng(8)
+    grams = [np.unique(rng.integers(0, 2**63, 40, dtype=np.uint64)) for _ in range(n)]
+    for k in range(0, n, 30):  # some that counters cannot tell apart
+        grams[k + 1] = grams[k]
+    sets = spark.createDataFrame([(k, 40, bytearray(ngram_join.counters(g))) for k, g in enumerate(grams)], "id long, n long, counters binary")
+    rows = spark.createDataFrame([(7, k, 40, 0, k) for k in range(n)], "gram long, id long, n long, pos int, colour long")
+    pairs = ngram_join._block_pairs(rows, sets, 85)
+    found = {(r.a, r.b) for r in pairs.collect()}
+    coarse = ngram_join._coarse(np.stack([np.frombuffer(ngram_join.counters(g), np.uint8) for g in grams]))
+    size = np.array([40])
+    assert found == {(a, b) for a in range(n) for b in range(a) if ngram_join.room(coarse[a][None], coarse[b][None], size, size, 85)[0] >= 0}
+    assert {(k + 1, k) for k in range(0, n, 30)} <= found
+    assert made_rows(pairs._jdf.queryExecution().executedPlan()) < n
+
+
 def test_other_sizes_and_order_without_frequent_grams(spark, crowded, monkeypatch):
     monkeypatch.setattr(ngram_join, "MOST_OFTEN", 0)
     texts = {d: t for d, t in crowded.items() if d % 3}
     assert run(spark, texts, words=5, percent=80) == brute_rows(texts, 5, 80)
 
 
+def test_word_hashes_stay_few(monkeypatch):
+    monkeypatch.setattr(ngram_join, "KNOWN_WORDS", 50)
+    known = ngram_join.WordHashes()
+    text = " ".join(f"w{k % 70}" for k in range(300)).encode()
+    assert (ngram_join.gram_set(text, 4, known) == ngram_join.gram_set(text, 4, ngram_join.WordHashes())).all() and len(known) <= 50
+
+
 def test_order_puts_frequent_grams_last_and_fragments_cover_a_set():
     grams = np.sort(np.random.default_rng(1).integers(0, 2**63, 500, dtype=np.uint64) * np.uint64(2))
     order = ngram_join.Order(grams[::5], np.random.default_rng(2).permutation(100), np.array([20, 50, 70]))
