@@ -8,6 +8,7 @@ pairs that arise beside them are added to the lists of their own ranks.
 
 from __future__ import annotations
 
+import copy
 import heapq
 import json
 from collections.abc import Iterable, Sequence
@@ -22,6 +23,8 @@ from .pretokens import WordCache, pieces, split_bytes
 _GAP, _GONE = -1, -2
 # From so many positions on, a rank is merged with array operations.
 _BLOCK = 20
+# Pre-tokens in each of the two generations of a task's cache, and characters that are split and encoded at a time.
+CACHE, PART = 200_000, 1 << 20
 
 
 def _byte_letters() -> dict[str, int]:
@@ -34,7 +37,7 @@ def _byte_letters() -> dict[str, int]:
 class ByteBpe:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str, cache: int = 500_000):
+    def __init__(self, path: str, cache: int = CACHE):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab = spec["model"]["vocab"]
@@ -59,8 +62,15 @@ class ByteBpe:
             self.table[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
         for token, i in self.special.items():
             self.table[i] = token.encode()
+        self.limit = cache
         self.cache = WordCache(self.encode_words, cache)
 
+    def fresh(self) -> ByteBpe:
+        """The same tables with an empty cache."""
+        other = copy.copy(self)
+        other.cache = WordCache(self.encode_words, self.limit)
+        return other
+
     def encode_words(self, words: Sequence[str]) -> list[bytes]:
         """Ids of each pre-token, as little-endian 32-bit integers."""
         raw = [w.encode() for w in words]
@@ -167,9 +177,16 @@ class ByteBpe:
         return self._encode_plain(texts)
 
     def _encode_plain(self, texts: Sequence[str]) -> list[bytes]:
-        splits = [self._split(t) for t in texts]
-        ids = self.cache.ready(splits)
-        return [b"".join(map(ids, s)) for s in splits]
+        out: list[bytes] = []
+        while len(out) < len(texts):
+            size, end = 0, len(out)
+            while end < len(texts) and (end == len(out) or size + len(texts[end]) <= PART):
+                size += len(texts[end])
+                end += 1
+            splits = [self._split(t) for t in texts[len(out) : end]]
+            ids = self.cache.ready(splits)
+            out += [b"".join(map(ids, s)) for s in splits]
+        return out
 
     def decode(self, ids: Iterable[bytes]) -> list[str]:
         piece = self.table.__getitem__
@@ -179,14 +196,14 @@ class ByteBpe:
 _LOADED: dict[tuple, object] = {}
 
 
-def worker_bpe(path: str, cache: int = 500_000) -> ByteBpe:
-    """The worker's own encoder, kept between tasks."""
+def worker_bpe(path: str, cache: int = CACHE) -> ByteBpe:
+    """The worker's own encoder, kept between tasks; a task that caches takes a ``fresh`` one, so that its words go with it."""
     if (path, cache) not in _LOADED:
         _LOADED[path, cache] = ByteBpe(path, cache)
     return _LOADED[path, cache]
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None, cache: int = 500_000) -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None, cache: int = CACHE) -> DataFrame:
     """Add ``ids`` (binary, little-endian unsigned 32-bit) and ``n_tokens`` to every row.
 
     Null and empty texts have no ids. The strings of special tokens inside a text
@@ -194,7 +211,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] |
     """
 
     def make():
-        bpe = worker_bpe(path, cache)
+        bpe = worker_bpe(path, cache).fresh()
 
         def work(texts):
             ids = bpe.encode(as_texts(texts))
@@ -215,11 +232,11 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", keep: Sequence[str] | N
     return apply_arrow(docs, [ids], "decoded string", make, keep)
 
 
-def round_trip(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None, cache: int = 500_000) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None, cache: int = CACHE) -> DataFrame:
     """``encode`` and ``decode`` in one pass over the texts."""
 
     def make():
-        bpe = worker_bpe(path, cache)
+        bpe = worker_bpe(path, cache).fresh()
 
         def work(texts):
             ids = bpe.encode(as_texts(texts))

@@ -35,6 +35,17 @@ def test_ids_equal_the_library():
     assert made == library(BYTES, texts)
 
 
+def test_cache_stays_small_and_goes_with_its_task(monkeypatch):
+    texts = [" ".join(f"q{k * 7 + j}z" for j in range(40)) for k in range(60)]
+    tool = bpe.ByteBpe(BYTES, 100)
+    monkeypatch.setattr(bpe, "PART", 500)
+    made = [np.frombuffer(i, "<u4").tolist() for i in tool.encode(texts)]
+    assert made == library(BYTES, texts)
+    assert len(tool.cache.young) <= 200 and len(tool.cache.old) <= 200
+    other = tool.fresh()
+    assert not other.cache.young and other.table is tool.table and other.encode(texts[:3]) == tool.encode(texts[:3])
+
+
 def test_word_ids_equal_the_library():
     texts = [t or "" for t in TRICKY] + noise(400)
     tool = token_files.WordBpe(WORDS, 50)
