@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import apply_arrow, as_bytes, named, stored
-from .graph import components
+from .graph import grown
 
 WORDS, PERCENT = 4, 85
 FRAGMENTS, HOT_FRAGMENTS = 16, 4
@@ -36,6 +36,8 @@ OFTEN, MOST_OFTEN = 32, 1 << 20
 # two at a time are compared, STRIP ids of one against all of the other.
 BUCKET, CELL, STRIP = 8, 1024, 32
 PROBES, BEST_ROUNDS = 8, 2
+# Up to so many pairs are decided at once; of more, the likeliest are tried first.
+FEW_PAIRS = 1 << 16
 # Counters that bound the overlap of two sets from above; blocks compare coarse ones first, each the sum of several.
 COUNTERS, COARSE = 512, 128
 # Words whose hashes a task keeps.
@@ -291,10 +293,9 @@ def _few_pairs(met: DataFrame, percent: int, unlike: Column | None = None) -> Da
     return joined.select(c("l", "id").alias("a"), c("r", "id").alias("b")).distinct()
 
 
-def _unsettled(met: DataFrame, links: DataFrame) -> DataFrame:
+def _unsettled(met: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows under n-grams whose ids are of several components so far, with ``colour``, the component."""
-    roots = components(links).select(F.col("node").alias("id"), "root")
-    painted = met.join(roots, "id", "left").withColumn("colour", F.coalesce("root", "id")).drop("root")
+    painted = met.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("colour", F.coalesce("root", "id")).drop("root")
     mixed = painted.groupBy("gram").agg(F.min("colour").alias("low"), F.max("colour").alias("high")).where(F.col("low") != F.col("high")).select("gram")
     return stored(painted.join(mixed, "gram"), "unsettled")
 
@@ -311,10 +312,9 @@ def _probe_pairs(met: DataFrame) -> DataFrame:
     return led.select(*_in_order(F.col("id"), F.col("leader"))).distinct()
 
 
-def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """Those of the pairs whose ids are of different components."""
-    roots = components(links)
-    side = lambda key, root: roots.select(F.col("node").alias(key), F.col("root").alias(root))
+    side = lambda key, root: groups.select(F.col("node").alias(key), F.col("root").alias(root))
     placed = pairs.join(side("a", "ra"), "a", "left").join(side("b", "rb"), "b", "left")
     return placed.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", "room")
 
@@ -391,35 +391,38 @@ def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select(*[f"{s}_{c}" for s in "xy" for c in values]).mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def similarity_links(
+def similarity_groups(
     met: DataFrame, sets: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int, known: DataFrame | None = None
 ) -> DataFrame:
-    """Links (a, b) that join all ids of similar sets, directly or through others.
+    """(node, root), as ``components`` gives them, of all ids joined by similarity, directly or through others.
 
     ``met`` has (gram, id, n, pos, often): the first n-grams of each set that others
     have there too, and ``many``, whether more than ``BUCKET`` have. Under crowded
     n-grams all meet a few probes. As far as this does not link them, they meet all
     others in blocks, where counters alone are compared; that work grows with the
     ids outside an n-gram's main component times all of its ids. Of the pairs that
-    are left, each id's most likely one is tried first. Links ``known`` before are
-    not looked for again.
+    are left, each id's most likely one is tried first, if they are many. Ids of one
+    group ``known`` before are not compared again.
     """
     crowds = met.where("many")
     first = _few_pairs(met.where("NOT many"), percent).unionByName(_probe_pairs(crowds)).distinct()
     if known is not None:
         first = _apart(first.withColumn("room", F.lit(0)), known).drop("room")
-    links = similar_pairs(first, sets, fetch, percent)
-    links = stored(links if known is None else links.unionByName(known), "links")
-    apart = _unsettled(crowds, links)
+    groups = grown(known, similar_pairs(first, sets, fetch, percent))
+    apart = _unsettled(crowds, groups)
     if not apart.limit(1).count():
-        return links
-    pairs = stored(_with_room(_block_pairs(apart, sets, percent), sets, percent), "block-pairs")
-    for last in [False] * BEST_ROUNDS + [True]:
-        left = stored(_apart(pairs, links), "apart-pairs")
-        if not left.limit(1).count():
+        return groups
+    left = stored(_with_room(_block_pairs(apart, sets, percent), sets, percent), "block-pairs")
+    for tried in range(BEST_ROUNDS + 1):
+        if not (many := left.count()):
             break
-        links = stored(links.unionByName(similar_pairs(left if last else _best_pairs(left), sets, fetch, percent)), "links")
-    return links
+        last = many <= FEW_PAIRS or tried == BEST_ROUNDS
+        now = left if last else stored(_best_pairs(left), "best-pairs")
+        groups = grown(groups, similar_pairs(now, sets, fetch, percent))
+        if last:
+            break
+        left = stored(_apart(left.join(now, ["a", "b"], "left_anti"), groups), "apart-pairs")
+    return groups
 
 
 def first_grams(rows: DataFrame) -> DataFrame:
@@ -473,8 +476,8 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         rows.where("n > 0").groupBy("id", "n", "counters").agg(F.min("doc").alias("low"), F.min("mark").alias("mark")), "classes"
     )
     fetch = lambda asked: stored(segments(own, "text", words, asked, order).dropDuplicates(["id", "fragment"]), "segments")
-    links = similarity_links(first_grams(rows.where("n > 0")), classes, fetch, percent)
-    roots = components(links).select(F.col("node").alias("id"), "root")
+    groups = similarity_groups(first_grams(rows.where("n > 0")), classes, fetch, percent)
+    roots = groups.withColumnRenamed("node", "id")
     placed = classes.select("id", "low").join(roots, "id", "left").select("id", "low", F.coalesce("root", "id").alias("root"))
     lows = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     found = placed.join(lows, "root").select("id", "component_id", F.lit(True).alias("linked"))

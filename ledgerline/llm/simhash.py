@@ -262,8 +262,8 @@ def _all_pairs(rows: DataFrame) -> DataFrame:
     return met.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
 
 
-def similar_links(nodes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links (a, b) that join ids of sets of this Jaccard similarity, directly or through others; no other sets.
+def similar_groups(nodes: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(node, root), as ``components`` gives them, of ids joined by this Jaccard similarity of their sets, directly or through others.
 
     ``nodes`` has ``id``, ``n``, ``counters``, ``fp`` and ``chains`` of each distinct
     set and the ``mark`` of a row of ``docs`` (text, mark) that has it. A budget this
@@ -287,20 +287,19 @@ def similar_links(nodes: DataFrame, docs: DataFrame, words: int, similarity: flo
     crowds = met.where(F.col("n") > BUCKET)
     led = crowds.where(F.col("id") != F.col("leader")).select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b"))
     pairs = _all_pairs(met.where(F.col("n") <= BUCKET).select("key", "id")).unionByName(led).distinct()
-    links = stored(ngram_join.similar_pairs(_ring_near(pairs, nodes, budget), sets, fetch, percent), "ring-links")
+    groups = components(ngram_join.similar_pairs(_ring_near(pairs, nodes, budget), sets, fetch, percent))
 
-    roots = components(links).select(F.col("node").alias("id"), "root")
-    painted = crowds.select("key", "id").join(roots, "id", "left").withColumn("colour", F.coalesce("root", "id"))
+    painted = crowds.select("key", "id").join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("colour", F.coalesce("root", "id"))
     mixed = painted.groupBy("key").agg(F.min("colour").alias("low"), F.max("colour").alias("high")).where(F.col("low") != F.col("high")).select("key")
     apart = stored(painted.join(mixed, "key").select("id").distinct(), "apart")
     if not apart.limit(1).count():
-        return links
+        return groups
     asked = sets.join(apart, "id")
     rows = ngram_join.marked_rows(docs, asked).join(asked.select("mark"), "mark", "left_semi").dropDuplicates(["mark"])
     rows = stored(rows.select("text"), "apart-texts")
     order = spark.sparkContext.broadcast(ngram_join.gram_order(rows, "text", words))
     rare = ngram_join.first_grams(ngram_join.gram_sets(rows, "text", words, percent, order, []).where("n > 0"))
-    return stored(links.unionByName(ngram_join.similarity_links(rare, sets, fetch, percent, links)), "near-links")
+    return ngram_join.similarity_groups(rare, sets, fetch, percent, groups)
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -316,8 +315,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     first = F.struct(F.col("doc").isNull().alias("none"), "doc", "text_key", "mark", "n", "counters", "fp", "chains")
     # many rows of one set leave one row of a partition each; the rest is written once
     nodes = stored(rows.groupBy("id").agg(F.min(first).alias("first")).select("id", "first.*"), "wide-nodes")
-    links = similar_links(nodes.where("n > 0"), own.select("text", "mark"), words, similarity)
-    roots = components(links).select(F.col("node").alias("id"), "root")
+    groups = similar_groups(nodes.where("n > 0"), own.select("text", "mark"), words, similarity)
+    roots = groups.withColumnRenamed("node", "id")
     rank = F.struct("none", "doc", "text_key")
     chosen = (
         nodes.select("id", "none", "doc", "text_key")

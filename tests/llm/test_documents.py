@@ -12,7 +12,7 @@ from oracle_check import compare, connect
 
 import corpus_pipeline
 from ledgerline.llm import decontaminate, license_scan, line_dedup, quality, queries, sharding, simhash, sql, url_filter
-from ledgerline.llm.graph import components
+from ledgerline.llm.graph import components, grown
 
 
 @pytest.mark.parametrize("key", sorted(queries.ORACLE_SQL))
@@ -215,6 +215,23 @@ def test_components_of_a_path_and_a_star(spark):
     assert set(made.values()) == {0, 100} and made[60] == 0 and made[139] == 100
 
 
+def test_components_of_few_links_leave_few_files(spark):
+    """Rounds have tasks by their links, not by the shuffle partitions; groups known before count as links."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    for key, value in held.items():
+        spark.conf.set(key, value)
+    try:
+        made = components(spark.createDataFrame([(i, i + 1) for i in range(0, 200, 2)], "a long, b long"))
+        more = grown(made, spark.createDataFrame([(0, 198), (300, 301)], "a long, b long"))
+        assert len(made.inputFiles()) == len(more.inputFiles()) == 1
+        found = {r.node: r.root for r in more.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert found[198] == found[199] == 0 and found[301] == 300 and len(found) == 102
+
+
 def test_ring_filter_keeps_all_within_budget():
     draw = np.random.default_rng(2)
     boxes = draw.integers(0, 4, (3000, 16))

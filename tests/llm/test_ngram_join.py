@@ -98,6 +98,13 @@ def test_blocks_of_a_crowd_are_not_copied_per_id(spark):
     assert made_rows(pairs._jdf.queryExecution().executedPlan()) < n
 
 
+def test_many_pairs_are_tried_likeliest_first(spark, crowded, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BUCKET", 2)
+    monkeypatch.setattr(ngram_join, "FEW_PAIRS", 0)
+    texts = {d: t for d, t in crowded.items() if d % 2}
+    assert run(spark, texts) == brute_rows(texts)
+
+
 def test_other_sizes_and_order_without_frequent_grams(spark, crowded, monkeypatch):
     monkeypatch.setattr(ngram_join, "MOST_OFTEN", 0)
     texts = {d: t for d, t in crowded.items() if d % 3}
