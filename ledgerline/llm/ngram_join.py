@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import apply_arrow, as_bytes, named, stored
+from .common import BATCHES, apply_arrow, as_bytes, named, stored
 from .graph import grown
 
 WORDS, PERCENT = 4, 85
@@ -328,18 +328,14 @@ def _best_pairs(pairs: DataFrame) -> DataFrame:
 def _blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """(gram, i, blocks, ids, colours, sizes, places, counters, lone): the ids under each n-gram in blocks of about ``CELL``.
 
-    A block is one row: an array of each value, and the coarse counters end to end.
+    A block is one row: an array of each value.
     ``blocks`` is how many the n-gram has, ``lone`` whether the block holds ids outside
     the n-gram's main component, the one that most of its ids are of.
     """
     colours = rows.groupBy("gram", "colour").agg(F.count(F.lit(1)).alias("c"))
     main = colours.groupBy("gram").agg(F.max_by("colour", "c").alias("main"), F.ceil(F.sum("c") / CELL).cast("int").alias("blocks"))
 
-    def fold():
-        return lambda fine: [pa.array([r.tobytes() for r in _coarse(np.frombuffer(b"".join(fine.to_pylist()), np.uint8).reshape(-1, COUNTERS))], pa.binary())]
-
-    crowd = sets.join(rows.select("id").distinct(), "id").select("id", "counters")
-    held = rows.join(main, "gram").join(apply_arrow(crowd, ["counters"], "counters binary", fold), "id")
+    held = rows.join(main, "gram").join(sets.select("id", "counters"), "id")
     member = F.struct("id", "colour", "n", "pos", "counters")
     packed = held.groupBy("gram", "blocks", F.pmod(F.xxhash64("gram", "id"), F.col("blocks")).cast("int").alias("i")).agg(
         F.collect_list(member).alias("m"), F.max(F.col("colour") != F.col("main")).alias("lone")
@@ -352,19 +348,26 @@ def _blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of ids of different components under n-grams of many that the coarse counters cannot tell apart.
+    """Pairs (a, b) of ids of different components under n-grams of many that the counters cannot tell apart.
 
     Under each n-gram every block meets itself and the blocks up to half way round,
     so that any two meet; not two blocks of the main component alone. Rows grow with
-    the blocks, not with the ids, times the blocks; a task holds two at a time.
+    the blocks, not with the ids, times the blocks; a task holds two at a time. All
+    counters travel with a block, so only pairs that leave room for the overlap
+    become rows: coarse counters rule out most, the fine ones of the rest decide.
     """
+    for key, value in BATCHES.items():
+        rows.sparkSession.conf.set(key, value)
     blocks = stored(_blocks(rows, sets), "blocks")
     values = ("ids", "colours", "sizes", "places", "counters")
     side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in values]
     steps = F.sequence(F.lit(0), F.floor(F.col("blocks") / 2).cast("int"))
-    left = blocks.select("gram", "lone", F.explode(F.transform(steps, lambda d: F.pmod(F.col("i") + d, F.col("blocks")))).alias("j"), *side("x"))
-    right = blocks.select("gram", F.col("i").alias("j"), F.col("lone").alias("other"), *side("y"))
+    several = blocks.where("blocks > 1")
+    left = several.select("gram", "lone", F.explode(F.transform(steps, lambda d: F.pmod(F.col("i") + d, F.col("blocks")))).alias("j"), *side("x"))
+    right = several.select("gram", F.col("i").alias("j"), F.col("lone").alias("other"), *side("y"))
     met = left.join(right, ["gram", "j"]).where("lone OR other")
+    sides = [f"{s}_{c}" for s in "xy" for c in values]
+    met = met.select(*sides).unionByName(blocks.where("blocks = 1 AND lone").select(*side("x"), *side("y")))
 
     def compare(batches):
         flat = lambda column, k: column[k].values.to_numpy(zero_copy_only=False)
@@ -373,9 +376,10 @@ def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for k in range(batch.num_rows):
                 (ix, cx, nx, px, bx), (iy, cy, ny, py, by) = (
                     [flat(batch.column(at + v), k) for v in range(4)]
-                    + [np.frombuffer(b"".join(batch.column(at + 4)[k].as_py()), np.uint8).reshape(-1, COARSE)]
+                    + [np.frombuffer(b"".join(batch.column(at + 4)[k].as_py()), np.uint8).reshape(-1, COUNTERS)]
                     for at in (0, 5)
                 )
+                dx, dy = _coarse(bx), _coarse(by)
                 for s in range(0, len(ix), STRIP):
                     own = slice(s, s + STRIP)
                     both = nx[own, None] + ny[None, :]
@@ -384,11 +388,13 @@ def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     fits &= 100 * np.minimum(nx[own, None], ny[None, :]) >= percent * np.maximum(nx[own, None], ny[None, :])
                     i, j = np.nonzero(fits)
                     i += s
-                    near = room(bx[i], by[j], nx[i], ny[j], percent) >= 0
-                    found.append(np.stack((np.maximum(ix[i], iy[j]), np.minimum(ix[i], iy[j])))[:, near])
+                    for a, b in ((dx, dy), (bx, by)):
+                        near = room(a[i], b[j], nx[i], ny[j], percent) >= 0
+                        i, j = i[near], j[near]
+                    found.append(np.stack((np.maximum(ix[i], iy[j]), np.minimum(ix[i], iy[j]))))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found, axis=1)], names=["a", "b"])
 
-    return met.select(*[f"{s}_{c}" for s in "xy" for c in values]).mapInArrow(compare, "a bigint, b bigint").distinct()
+    return met.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def similarity_groups(

@@ -98,6 +98,21 @@ def test_blocks_of_a_crowd_are_not_copied_per_id(spark):
     assert made_rows(pairs._jdf.queryExecution().executedPlan()) < n
 
 
+def test_blocks_give_only_pairs_that_fine_counters_leave(spark):
+    """Sets alike in every coarse counter: compared on those alone, each pair of them would be a row."""
+    n, rng = 120, np.random.default_rng(9)
+    grams = [np.arange(40, dtype=np.uint64) + np.uint64(ngram_join.COARSE) * rng.integers(0, 4, 40).astype(np.uint64) for _ in range(n)]
+    for k in range(0, n, 30):
+        grams[k + 1] = grams[k]
+    sets = spark.createDataFrame([(k, 40, bytearray(ngram_join.counters(g))) for k, g in enumerate(grams)], "id long, n long, counters binary")
+    for cell in (ngram_join.CELL, 50):
+        rows = spark.createDataFrame([(7, k, 40, 0, k) for k in range(n)], "gram long, id long, n long, pos int, colour long")
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(ngram_join, "CELL", cell)
+            found = ngram_join._block_pairs(rows, sets, 85).collect()
+        assert {(r.a, r.b) for r in found} == {(k + 1, k) for k in range(0, n, 30)}
+
+
 def test_many_pairs_are_tried_likeliest_first(spark, crowded, monkeypatch):
     monkeypatch.setattr(ngram_join, "BUCKET", 2)
     monkeypatch.setattr(ngram_join, "FEW_PAIRS", 0)
