@@ -328,6 +328,57 @@ def test_gradient_takes_class_sizes_without_a_join(spark):
     assert {r.name: r.gradient for r in made.collect()} == pytest.approx(want)
 
 
+def classed(spark, n=900):
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(n):
+        kind, size = [None, "a", "b", "c", f"rare{i}"][int(rng.choice(5, p=[0.1, 0.4, 0.3, 0.15, 0.05]))], "SML"[int(rng.integers(3))]
+        x = float(rng.lognormal())
+        rows.append((i, kind, size, x, 7.0, int(rng.random() < 1 / (1 + np.exp(1 - 2 * x - (kind == "a"))))))
+    return spark.createDataFrame(rows, "i int, kind string, size string, x double, c0 double, y int")
+
+
+def test_a_fit_takes_few_passes_and_agrees_with_gradients_alone(spark, monkeypatch):
+    train = classed(spark)
+    fit = lambda: propensity.propensity_fit(train, "y", ("kind", "size"), ("x", "c0"))
+    made = fit()
+    monkeypatch.setattr(propensity, "MOST_FEATURES", 0)
+    other = fit()
+    assert made.passes <= 8 < other.passes and made.known == other.known == [["a", "b", "c", "infrequent", "missing"], ["L", "M", "S"]]
+    assert made.fitted == pytest.approx(other.fitted, abs=2e-3)
+    largest = lambda m: max(abs(r.gradient) for r in propensity.penalised_gradient(
+        m.prepare(train), m.weights(spark), "y", ("kind", "size"), ("x", "c0")).collect())
+    assert largest(made) < 1e-9 and largest(other) < 1e-4
+    assert not train.sparkSession.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_a_fit_of_one_class_or_of_other_labels(spark):
+    train = classed(spark, 60)
+    model = propensity.propensity_fit(train.withColumn("y", F.lit(1)), "y", ("kind",), ("x",))
+    assert model.fitted[-1] == float("inf") and set(model.fitted[:-1]) == {0.0}
+    for odd in (train.limit(0), train.withColumn("y", F.col("y") + 1), train.withColumn("y", F.lit(None).cast("int"))):
+        with pytest.raises(ValueError):
+            propensity.propensity_fit(odd, "y", ("kind",), ("x",))
+
+
+def test_exact_quantiles(spark):
+    rng = np.random.default_rng(6)
+    columns = {"a": rng.normal(size=701), "b": np.round(rng.normal(size=701), 1) * -1e9, "c": np.zeros(701), "d": 1 + rng.integers(0, 9, 701) * 2.0**-50}
+    columns["c"][:200] = -0.0
+    columns["a"][:2] = np.inf, -np.inf
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*columns.values())], "a double, b double, c double, d double").repartition(5)
+    shares = (0.001, 0.25, 0.5, 0.75, 1.0)
+    want = [[np.sort(v)[max(int(np.ceil(q * 701)), 1) - 1] for q in shares] for v in columns.values()]
+    assert propensity.exact_quantiles(df, list(columns), shares) == want
+
+
+def test_a_split_searches_its_edges_once_and_scores_are_written_once(spark, warehouse):
+    df = spark.createDataFrame([(k, k % 2) for k in range(300)], "k int, y int")
+    for part in propensity.split_stratified(df, "k", "y"):
+        assert "Window" not in part._jdf.queryExecution().optimizedPlan().toString()
+    assert all("propensity-scores" in f for f in queries_analytics._score_table(warehouse).inputFiles())
+
+
 @pytest.mark.parametrize("of, label", [("_dated", "propensity-features"), ("_variant_split", "variant-features")])
 def test_a_fit_reads_features_from_files(warehouse, of, label):
     for part in getattr(queries_analytics, of)(warehouse):
