@@ -1,6 +1,7 @@
 """Results whose branches share tables that are written once."""
 
 import datetime as dt
+import re
 
 import pytest
 
@@ -67,3 +68,21 @@ def test_columns_left_out_are_null_and_unknown_ones_are_refused(spark):
     assert _only(df, ["k"]).collect() == [(1, None)]
     with pytest.raises(ValueError, match="no such columns: z"):
         _only(df, ["z"])
+
+
+@pytest.mark.parametrize("key", ["K10_reconciliation_statement", "R08_statement_listing"])
+def test_the_statement_joins_nothing_but_what_it_has_written(spark, folder, key):
+    found = catalog.all_queries()[key].on(driver_tables.fresh(spark, folder))
+    assert not re.search("Join (Inner|Left|Right|Full|Cross)", found._jdf.queryExecution().optimizedPlan().toString())
+    assert not [f for f in found.inputFiles() if f"{folder}/" in f]
+
+
+def test_columns_left_out_are_not_in_the_files(spark, folder):
+    w = driver_tables.fresh(spark, folder)
+    lines = w.written_once({"lines": ["l_partkey"]}).raw["lines"]
+    items = w.written_once({"wide_order_item": ["order_id", "item_status"]}).wide_order_item
+    for table, plain, kept in ((lines, w.raw["lines"], {"l_partkey"}), (items, w.wide_order_item, {"order_id", "item_status"})):
+        assert set(spark.read.parquet(*table.inputFiles()).columns) == kept
+        assert table.dtypes == plain.dtypes
+        assert table.count() == plain.count()
+        assert {c for r in table.collect() for c, v in r.asDict().items() if v is not None} == kept
