@@ -433,6 +433,41 @@ def test_all_starts_in_one_pass_match_single_fits(spark, warehouse):
         assert cost == pytest.approx(((table[:, None] - centres[None]) ** 2).sum(2).min(1).sum(), rel=1e-9)
 
 
+def test_fits_go_on_until_they_stand_still(spark, monkeypatch):
+    rounds = 700
+    seen = []
+
+    def creeping(points, sets):
+        """Sums whose mean moves by 0.001 a round, then stands."""
+        seen.append(len(sets))
+        at = min(len(seen), rounds) / 1000
+        return {i: np.array([[2.0, 2 * at, 0, 0, 5]]) for i in sets}
+
+    monkeypatch.setattr(segmentation, "_one_round", creeping)
+    (centre, cost), = segmentation.k_means(None, [np.zeros((1, 3))])
+    assert centre.tolist() == [[rounds / 1000, 0, 0]] and cost == 5
+    assert len(seen) == rounds + 2  # one that stands, one for the cost
+    monkeypatch.setattr(segmentation, "_one_round", lambda points, sets: {i: np.array([[1.0, np.nan, 0, 0, 0]]) for i in sets})
+    with pytest.raises(ValueError, match="finite"):
+        segmentation.k_means(None, [np.zeros((1, 3))])
+
+
+def test_points_are_in_files_by_their_number(spark, warehouse, monkeypatch):
+    feats = segmentation.rfm_features(warehouse.customer_360)
+    asked = []
+    monkeypatch.setattr(segmentation, "k_means", lambda points, starts: asked.append(points) or [(s, 0.0) for s in starts])
+    monkeypatch.setattr(segmentation, "FILE_POINTS", -(-feats.count() // 4))
+    monkeypatch.setattr(segmentation, "CHUNK", 4)
+    segmentation.best_centres(feats, [1], 1, 42)
+    points = asked[0]
+    cores = spark.sparkContext.defaultParallelism
+    assert len(points.inputFiles()) == segmentation._files(feats.count(), cores) >= 4
+    assert points.agg({"w": "sum"}).first()[0] == feats.count()
+    monkeypatch.undo()
+    assert [segmentation._files(n, 6) for n in (0, 1, 65_536, 65_537, 450_000, 5_400_000)] == [1, 1, 1, 6, 12, 84]
+    assert segmentation._files(450_000, 1000) == 55
+
+
 @pytest.mark.parametrize("squared", [False, True])
 def test_silhouette_matches_definition(spark, squared):
     rng = np.random.default_rng(3)
